@@ -40,12 +40,19 @@ _RARE = (
     r"[\x{80}-\x{9f}\x{2bc}\x{2018}-\x{201f}"
     rf"\x{{ff01}}-\x{{ff5e}}\x{{3000}}{''.join(_LIGATURES)}]]"
 )
-_LINE_END = r"\r\n?|[\x{85}\x{2028}\x{2029}]"
+_LINE_END = r"[\r\x{85}\x{2028}\x{2029}](?:(?<=\r)\n)?"
 _CONTROL = (
     r"[\x00-\x1f\x7f\x{206a}-\x{fffc}&&"
     r"[\x00-\x08\x0b\x0e-\x1f\x7f\x{206a}-\x{206f}\x{feff}\x{fff9}-\x{fffc}]]"
 )
-_SUSPECT = r"[^\t\n\x20-\x7e]|&#?[0-9A-Za-z]{1,24};"
+# One pass over one class finds the few texts that need a closer look: controls,
+# ampersands, lead characters of damaged sequences, and typography.
+_SUSPECT = (
+    r"[\x{7f}-\x{fffc}\x{26}\x00-\x1f&&"
+    r"[\x00-\x08\x0b\x0d-\x1f&\x7f-\x9f\x{c2}\x{c3}\x{e2}\x{f0}\x{132}\x{133}\x{2bc}"
+    r"\x{2018}-\x{201f}\x{2028}\x{2029}\x{206a}-\x{206f}\x{3000}\x{fb00}-\x{fb06}\x{feff}"
+    r"\x{ff01}-\x{ff5e}\x{fff9}-\x{fffc}]]"
+)
 
 
 def _replace_found(text: Column, pattern: str, mend) -> Column:
@@ -106,7 +113,7 @@ def _controls(text: Column) -> Column:
 
 
 def repair_raw(text: Column) -> Column:
-    """Repair a text; plain printable ASCII is recognised and returned as it is."""
+    """Repair a text; one without suspect characters is returned as it is."""
 
     def mend(value: Column) -> Column:
         # Twice, for text that was damaged twice.

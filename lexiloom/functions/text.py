@@ -9,6 +9,8 @@ length of the text, also on long unbroken runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ _EMAIL = (
     rf"[^{SPACE}][^.{SPACE}]*+\.[^{SPACE}]++"
 )
 # A lone plain blank is already normal, so only other runs are rewritten.
-_RUN = rf"{SPACE_BUT_BLANK}{SPACE}*+|\x20{SPACE}++"
+_RUN = rf"{SPACE}(?:(?<!\x20){SPACE}*+|{SPACE}++)"
 
 # Emoji code points of the Unicode emoji data file.
 _PICTURE = (
@@ -95,47 +97,36 @@ def _guarded(text: Column, cleaned: Column) -> Column:
     return F.when(is_valid_text(text), cleaned).otherwise(F.lit(""))
 
 
-def _headers_raw(text: Column) -> Column:
-    return F.regexp_extract(text, _BODY, 0)
-
-
-def _quotes_raw(text: Column) -> Column:
-    # A leading newline makes every line, the first too, start with one.
-    return F.substring(
-        F.regexp_replace(F.concat(F.lit("\n"), text), _QUOTED_LINE, ""), 2, 2**31 - 1
-    )
+def _when(holds: Callable[[Column], Column], step: Callable[[Column], Column]):
+    """A step that runs only on texts with a cheap sign of work to do."""
+    return lambda text: let(text, lambda value: F.when(holds(value), step(value)).otherwise(value))
 
 
-def _signature_raw(text: Column) -> Column:
-    return F.substring(
-        F.regexp_replace(F.concat(F.lit("\n"), text), _SIGNATURE, ""), 2, 2**31 - 1
-    )
+def _holds(part: str) -> Callable[[Column], Column]:
+    return lambda value: F.contains(value, F.lit(part))
 
 
-def _html_raw(text: Column) -> Column:
-    return F.regexp_replace(text, _TAG, " ")
+def _drop(pattern: str, by: str = " ") -> Callable[[Column], Column]:
+    return lambda value: F.regexp_replace(value, pattern, by)
 
 
-def _urls_raw(text: Column) -> Column:
-    return F.regexp_replace(text, _URL, " ")
+def _by_line(pattern: str) -> Callable[[Column], Column]:
+    # A leading newline makes every line, the first too, start with one.
+    return lambda value: F.substring(
+        F.regexp_replace(F.concat(F.lit("\n"), value), pattern, ""), 2, 2**31 - 1
+    )
 
 
-def _emails_raw(text: Column) -> Column:
-    return let(
-        text,
-        lambda value: F.when(
-            F.contains(value, F.lit("@")), F.regexp_replace(value, _EMAIL, " ")
-        ).otherwise(value),
-    )
+def _headers_raw(text: Column) -> Column:
+    return F.regexp_extract(text, _BODY, 0)
 
 
-def _emoji_raw(text: Column) -> Column:
-    return let(
-        text,
-        lambda value: F.when(
-            F.rlike(value, F.lit(f"[{_OUTER_PICTURE}]")), F.regexp_replace(value, _EMOJI, " ")
-        ).otherwise(value),
-    )
+_quotes_raw = _when(_holds(">"), _by_line(_QUOTED_LINE))
+_signature_raw = _when(_holds("--"), _by_line(_SIGNATURE))
+_html_raw = _when(_holds("<"), _drop(_TAG))
+_urls_raw = _when(lambda v: F.contains(v, F.lit("http")) | F.contains(v, F.lit("www.")), _drop(_URL))
+_emails_raw = _when(_holds("@"), _drop(_EMAIL))
+_emoji_raw = _when(lambda v: F.rlike(v, F.lit(f"[{_OUTER_PICTURE}]")), _drop(_EMOJI))
 
 
 def _whitespace_raw(text: Column) -> Column:

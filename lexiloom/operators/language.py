@@ -75,7 +75,7 @@ def detect_language(
         _words(valid, text_col, id_col)
         .join(lookup, "word")
         .groupBy(id_col, "language")
-        .agg(F.round(F.sum("weight"), 4).alias("score"))
+        .agg(F.round(F.sum("weight"), 6).alias("score"))
     )
     best = scores.groupBy(id_col).agg(
         F.min(F.struct((-F.col("score")).alias("cost"), "language")).alias("best")

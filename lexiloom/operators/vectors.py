@@ -305,6 +305,7 @@ class CellIndex:
         """Per query its cells by pivot distance, each with the least distance inside."""
         pivots = self.pivots
         q_type = queries.schema[query_id].dataType.simpleString()
+        p_type = queries.schema[self.vector_col].dataType.simpleString()
 
         def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -326,7 +327,7 @@ class CellIndex:
 
         return queries.select(query_id, self.vector_col).mapInArrow(
             order,
-            f"query_id {q_type}, point array<float>, cells array<struct<cell: int, least: double>>",
+            f"query_id {q_type}, point {p_type}, cells array<struct<cell: int, least: double>>",
         )
 
     def _visit(self, wanted: DataFrame, k: int, salts: list[int], q_blocks: int) -> DataFrame:

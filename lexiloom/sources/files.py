@@ -17,6 +17,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that comes in fewer pieces than there are cores.
+
+    A file cannot be read in more pieces than it has row groups. Large inputs
+    have plenty and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
