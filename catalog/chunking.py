@@ -25,7 +25,7 @@ def split_on_sentences(spark, folder):
     lengths = F.transform("kept", lambda p: F.length(p).cast("string"))
     return kept.select(
         "doc_id",
-        F.size("kept").cast("long").alias("pieces"),
+        F.size("kept").alias("pieces"),
         F.array_join(lengths, ",").alias("lengths"),
         F.try_element_at("kept", F.lit(1)).alias("first_piece"),
     )
@@ -47,7 +47,7 @@ def chunk_counts(spark, folder):
         .filter(F.size("chunks") > 0)
         .select(
             "doc_id",
-            F.size("chunks").cast("long").alias("chunks"),
+            F.size("chunks").alias("chunks"),
             F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("chars"),
             F.array_max(lengths).alias("longest"),
         )
@@ -64,7 +64,4 @@ SELECT doc_id || '_' || chunk_index AS chunk_id, doc_id, source AS category,
 FROM chunked JOIN (SELECT doc_id, source FROM documents) USING (doc_id)""",
 )
 def chunk_documents(spark, folder):
-    chunks = chunk_table(documents(spark, folder), "text", category_col="source")
-    return chunks.withColumns(
-        {c: F.col(c).cast("long") for c in ("chunk_index", "chunk_length", "num_chunks_in_doc")}
-    )
+    return chunk_table(documents(spark, folder), "text", category_col="source")

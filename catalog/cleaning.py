@@ -90,12 +90,7 @@ def process_corpus(spark, folder):
     profile = language.language_profile(documents(spark, folder))
     out = prepare_corpus(posts(spark, folder), profile, profile_rows=PROFILE_ROWS)
     return out.select(
-        "doc_id",
-        "category",
-        "language",
-        "clean_text",
-        F.col("original_length").cast("long").alias("original_length"),
-        F.col("clean_length").cast("long").alias("clean_length"),
+        "doc_id", "category", "language", "clean_text", "original_length", "clean_length"
     )
 
 

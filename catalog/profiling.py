@@ -16,7 +16,7 @@ _RAW = f"""raw_profile AS (SELECT count(*) AS total_docs,
   count(*) FILTER (text IS NULL) AS null_count,
   count(*) FILTER (text IS NOT NULL AND NOT {S.valid('text')}) AS empty_or_whitespace_count,
   (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM posts GROUP BY text)) AS duplicate_count,
-  0 AS encoding_issue_count,
+  CAST(0 AS BIGINT) AS encoding_issue_count,
   min(length(text)) AS length_min, max(length(text)) AS length_max,
   round(avg(length(text)), 1) AS length_mean, CAST(median(length(text)) AS DOUBLE) AS length_median,
   count(*) FILTER (length(text) < 20) AS very_short_count FROM posts)"""
@@ -151,7 +151,7 @@ def _perf(spark, folder):
     "perf_rollup",
     """SELECT event_type AS model_name, count(*) AS batches,
   CAST(sum(1 + event_id % 256) AS BIGINT) AS num_chunks, round(sum(value), 2) AS total_time_sec,
-  round(sum(value) / sum(1 + event_id % 256), 6) AS avg_time_per_chunk_sec, 384 AS embedding_dim
+  round(sum(value) / sum(1 + event_id % 256), 6) AS avg_time_per_chunk_sec, CAST(384 AS BIGINT) AS embedding_dim
 FROM events GROUP BY event_type""",
 )
 def perf_rollup(spark, folder):
@@ -169,7 +169,7 @@ def latency_rollup(spark, folder):
 
 @query(
     "embedding_stats",
-    """SELECT label, count(*) AS num_chunks, round(max(vec_id) / 1000, 4) AS total_time_sec,
+    """SELECT CAST(label AS BIGINT) AS label, count(*) AS num_chunks, round(max(vec_id) / 1000, 4) AS total_time_sec,
   round(max(vec_id) / 1000 / count(*), 6) AS avg_time_per_chunk_sec, max(len(embedding)) AS embedding_dim
 FROM embeddings GROUP BY label""",
 )
