@@ -12,9 +12,6 @@ from lexiloom.operators import cleaning, language
 from lexiloom.plans.corpus import prepare_corpus
 from lexiloom.sources.files import spread
 
-# The language profile holds at most this many rows: words x languages.
-PROFILE_ROWS = 1000 * 50
-
 
 def _step(name: str, function, expression):
     sql = f"WITH {S.POSTS} SELECT doc_id, {S.guarded('text', expression('text'))} AS result FROM posts"
@@ -51,7 +48,7 @@ def strip_emoji(spark, folder):
     f"SELECT page_id, {S.guarded('html', S.tags('html'))} AS result FROM pages",
 )
 def strip_html(spark, folder):
-    pages = spread(table(spark, folder, "pages"))
+    pages = spread(table(spark, folder, "pages"), "page_id")
     return pages.select("page_id", T.strip_html(F.col("html")).alias("result"))
 
 
@@ -75,9 +72,21 @@ def clean_text(spark, folder):
     f"WITH {S.detected('documents', 'text')} SELECT doc_id, language FROM detected",
 )
 def detect_language(spark, folder):
+    docs = documents(spark, folder)
+    found = language.with_language(docs, language.language_profile(docs), "text")
+    return found.select("doc_id", "language")
+
+
+@query(
+    "detect_language_joined",
+    f"WITH {S.detected('documents', 'text')} SELECT doc_id, language FROM detected",
+)
+def detect_language_joined(spark, folder):
+    """The way taken when the profile is too large to hold."""
     docs = documents(spark, folder)
     profile = language.language_profile(docs)
-    return language.detect_language(docs, profile, "text", profile_rows=PROFILE_ROWS)
+    found = language.with_language(docs, profile, "text", profile_bound=0)
+    return found.select("doc_id", "language")
 
 
 @query(
@@ -88,7 +97,7 @@ SELECT doc_id, category, language, clean_text, CAST(original_length AS BIGINT) A
 )
 def process_corpus(spark, folder):
     profile = language.language_profile(documents(spark, folder))
-    out = prepare_corpus(posts(spark, folder), profile, profile_rows=PROFILE_ROWS)
+    out = prepare_corpus(posts(spark, folder), profile)
     return out.select(
         "doc_id", "category", "language", "clean_text", "original_length", "clean_length"
     )

@@ -81,7 +81,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "documents"))
+    return spread(read_table(spark, folder, "documents"), "doc_id")
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import sqltext as S
-from catalog.cleaning import PROFILE_ROWS
 from catalog.inputs import documents, posts, table
 from catalog.registry import query
 from lexiloom.operators import language, perf, profile, reports
@@ -133,7 +132,7 @@ def profile_report(spark, folder):
 )
 def quality_report(spark, folder):
     words = language.language_profile(documents(spark, folder))
-    processed = prepare_corpus(posts(spark, folder), words, profile_rows=PROFILE_ROWS)
+    processed = prepare_corpus(posts(spark, folder), words)
     return reports.quality_report(processed).select("section", "metric", "value")
 
 

@@ -34,8 +34,9 @@ def chunk_documents(
         "doc_id",
         "category",
         F.size("chunks").alias("num_chunks_in_doc"),
-        F.posexplode("chunks").alias("chunk_index", "chunk_text"),
-    ).select(
+        # The outer form keeps the optimizer from splitting twice for a size filter.
+        F.posexplode_outer("chunks").alias("chunk_index", "chunk_text"),
+    ).filter(F.col("chunk_text").isNotNull()).select(
         F.concat_ws("_", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias(
             "chunk_id"
         ),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.functions.binding import compute_once
 from lexiloom.functions.text import clean_text, is_valid_text, looks_printable, text_length
 
 
@@ -13,7 +14,7 @@ def process_documents(df: DataFrame, text_col: str = "text", drop_empty: bool =
 
     Cleaned-to-empty documents are kept unless ``drop_empty`` is set.
     """
-    cleaned = df.withColumn("clean_text", clean_text(F.col(text_col)))
+    cleaned = compute_once(df, clean_text=clean_text(F.col(text_col)))
     out = cleaned.withColumns(
         {
             "original_length": text_length(F.col(text_col)),

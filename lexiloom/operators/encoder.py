@@ -15,7 +15,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexiloom.functions.tokens import terms
 
@@ -52,21 +51,18 @@ def hash_embed(
 
     A text without terms gets the zero vector.
     """
-    schema = T.StructType(df.schema.fields + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = _bucket_sums(batch.column(batch.num_columns - 1), dimensions)
+    @F.arrow_udf("array<float>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            sums = _bucket_sums(lists, dimensions)
             if normalize:
                 lengths = np.linalg.norm(sums, axis=1, keepdims=True)
                 sums = sums / np.where(lengths > 0, lengths, 1.0)
             offsets = np.arange(0, sums.size + 1, dimensions, dtype=np.int32)
-            vectors = pa.ListArray.from_arrays(offsets, sums.astype(np.float32).ravel())
-            names = batch.schema.names[:-1] + ["embedding"]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [vectors], names=names)
+            yield pa.ListArray.from_arrays(offsets, sums.astype(np.float32).ravel())
 
-    hashed = df.withColumn("__hashes", term_hashes(F.col(text_col), hash_term))
-    return hashed.mapInArrow(encode, schema)
+    return df.withColumn("embedding", encode(term_hashes(F.col(text_col), hash_term)))
 
 
 def embed(

@@ -2,15 +2,21 @@
 
 A profile holds the most frequent words per language with a log weight over a
 common floor. A text scores the sum of the weights of its words; the best
-language wins, and a text with no profiled word is ``unknown``.
+language wins, equal scores go to the first name, and a text with no profiled
+word is ``unknown``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexiloom.functions.text import is_valid_text
+from lexiloom.functions.binding import explode_once
 from lexiloom.plans.sizing import BROADCAST_ROWS
 
 # Fixed value: what invalid or undecidable text is labelled.
@@ -18,11 +24,12 @@ UNKNOWN = "unknown"
 WORD = r"[\p{L}]+"
 PROFILE_WORDS = 1000
 FLOOR = 1e-6
+DIGITS = 6
 
 
-def _words(df: DataFrame, text_col: str, *keys: str) -> DataFrame:
-    found = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD), F.lit(0))
-    return df.select(*keys, F.explode(found).alias("word"))
+def words(text: Column) -> Column:
+    """Lower-cased runs of letters."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 def language_profile(
@@ -35,9 +42,10 @@ def language_profile(
 
     Its size is bounded by languages x ``words_per_language``.
     """
+    known = labelled.filter(F.col(language_col).isNotNull())
     counts = (
-        _words(labelled.filter(F.col(language_col).isNotNull()), text_col, language_col)
-        .groupBy(F.col(language_col).alias("language"), "word")
+        explode_once(known, [F.col(language_col).alias("language")], words(F.col(text_col)), "word")
+        .groupBy("language", "word")
         .agg(F.count("*").alias("n"))
     )
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
@@ -49,44 +57,73 @@ def language_profile(
     return (
         top.join(totals, "language")
         .filter(share > FLOOR)
-        .select("language", "word", F.round(F.log(share / FLOOR), 6).alias("weight"))
+        .select("language", "word", F.round(F.log(share / FLOOR), DIGITS).alias("weight"))
     )
 
 
-def detect_language(
+def with_language(
     df: DataFrame,
     profile: DataFrame,
     text_col: str = "clean_text",
     id_col: str = "doc_id",
-    profile_rows: int | None = None,
+    profile_bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``(id, language)`` for every row of ``df``; equal scores go to the first name.
+    """``df`` plus ``language``.
 
-    Words of a document are summed where it is read, so only a few numbers per
-    document move and the text never does. ``profile_rows`` is the bound the
-    caller knows for the profile; with it the profile is broadcast, without it
-    the planner chooses.
+    A profile within the bound goes to every task and rows are scored where they
+    are, without a shuffle. A larger one is joined word by word; that way needs
+    an ``id_col`` that identifies rows.
     """
-    lookup = profile.select("word", "language", "weight")
-    if profile_rows is not None and profile_rows <= BROADCAST_ROWS:
-        lookup = F.broadcast(lookup)
-    valid = df.filter(is_valid_text(F.col(text_col)))
+    held = profile.limit(profile_bound + 1).select("language", "word", "weight").toArrow()
+    if held.num_rows <= profile_bound:
+        return df.withColumn("language", _classifier(df.sparkSession, held)(words(F.col(text_col))))
+    return _joined(df, profile, text_col, id_col)
+
+
+def _classifier(spark: SparkSession, profile: pa.Table):
+    """Arrow function from words to the best language."""
+    names = sorted(set(profile.column("language").to_pylist()))
+    vocabulary = pc.unique(profile.column("word").combine_chunks())
+    weights = np.zeros((len(vocabulary), max(1, len(names))))
+    row = pc.index_in(profile.column("word").combine_chunks(), value_set=vocabulary).to_numpy()
+    column = [names.index(name) for name in profile.column("language").to_pylist()]
+    weights[row, column] = profile.column("weight").to_numpy()
+    shared = spark.sparkContext.broadcast((vocabulary, weights, np.array(names + [UNKNOWN])))
+
+    @F.arrow_udf("string")
+    def classify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary, weights, labels = shared.value
+        for lists in batches:
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            place = pc.index_in(lists.flatten(), value_set=vocabulary)
+            known = pc.is_valid(place).to_numpy(zero_copy_only=False)
+            place = place.drop_null().to_numpy(zero_copy_only=False)
+            text_of = np.repeat(np.arange(len(lists)), sizes)[known]
+            scores = np.column_stack(
+                [
+                    np.bincount(text_of, weights=weights[place, c], minlength=len(lists))
+                    for c in range(weights.shape[1])
+                ]
+            ).round(DIGITS)
+            best = np.where(scores.max(axis=1) > 0, scores.argmax(axis=1), len(labels) - 1)
+            yield pa.array(labels[best].tolist(), type=pa.string())
+
+    return classify
+
+
+def _joined(df: DataFrame, profile: DataFrame, text_col: str, id_col: str) -> DataFrame:
     scores = (
-        _words(valid, text_col, id_col)
-        .join(lookup, "word")
+        explode_once(df, [id_col], words(F.col(text_col)), "word")
+        .join(profile, "word")
         .groupBy(id_col, "language")
-        .agg(F.round(F.sum("weight"), 6).alias("score"))
+        .agg(F.round(F.sum("weight"), DIGITS).alias("score"))
+        .filter(F.col("score") > 0)
     )
     best = scores.groupBy(id_col).agg(
         F.min(F.struct((-F.col("score")).alias("cost"), "language")).alias("best")
     )
-    return df.select(id_col).join(best, id_col, "left").select(
-        id_col, F.coalesce("best.language", F.lit(UNKNOWN)).alias("language")
-    )
-
-
-def with_language(df: DataFrame, detected: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Attach detected languages to their rows; this one moves the rows."""
-    return df.join(detected, id_col, "left").withColumn(
-        "language", F.coalesce("language", F.lit(UNKNOWN))
+    return (
+        df.join(best, id_col, "left")
+        .withColumn("language", F.coalesce("best.language", F.lit(UNKNOWN)))
+        .drop("best")
     )

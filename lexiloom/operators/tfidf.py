@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexiloom.functions.binding import explode_once
 from lexiloom.functions.stopwords import ENGLISH_STOP_WORDS
 from lexiloom.functions.text import is_valid_text
 from lexiloom.functions.tokens import terms
@@ -35,10 +36,8 @@ def _bucket() -> Column:
 
 
 def tokenize(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term)``, one row per occurrence."""
-    return df.filter(is_valid_text(F.col(text_col))).select(
-        id_col, F.explode(terms(F.col(text_col))).alias("term")
-    )
+    """``(id, term)``, one row per occurrence; blank and null texts have none."""
+    return explode_once(df, [id_col], terms(F.col(text_col)), "term")
 
 
 def term_counts(

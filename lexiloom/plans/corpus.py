@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from lexiloom.operators.chunks import chunk_documents
 from lexiloom.operators.cleaning import drop_binary, process_documents
 from lexiloom.operators.encoder import hash_embed
-from lexiloom.operators.language import detect_language, with_language
+from lexiloom.operators.language import with_language
 from lexiloom.sources.collection import Collection
 
 
@@ -17,12 +17,10 @@ def prepare_corpus(
     text_col: str = "text",
     id_col: str = "doc_id",
     drop_empty: bool = False,
-    profile_rows: int | None = None,
 ) -> DataFrame:
     """Clean text, lengths and language of every document."""
     processed = process_documents(raw, text_col, drop_empty)
-    detected = detect_language(processed, profile, "clean_text", id_col, profile_rows)
-    return with_language(processed, detected, id_col)
+    return with_language(processed, profile, "clean_text", id_col)
 
 
 def ingest(

@@ -17,14 +17,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that comes in fewer pieces than there are cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input that is read in fewer pieces than there are cores.
 
-    A file cannot be read in more pieces than it has row groups. Large inputs
-    have plenty and pass unchanged.
+    A file cannot be read in more pieces than it has row groups. Inputs of any
+    size have more pieces than a cluster has cores and pass unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_csv(

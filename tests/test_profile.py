@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators import perf, profile, reports
 from lexiloom.operators.cleaning import process_documents
-from lexiloom.operators.language import detect_language, language_profile, with_language
+from lexiloom.operators.language import language_profile, with_language
 from lexiloom.sources.reports import write_report
 
 
@@ -85,8 +85,7 @@ def test_language_on_held_out_documents(spark, folder):
     data = spark.read.parquet(f"{folder}/documents.parquet").filter(F.length("text") > 40)
     trained = language_profile(data.filter("doc_id % 2 = 0"))
     held = data.filter("doc_id % 2 = 1")
-    found = detect_language(held, trained, "text", profile_rows=4000)
-    right = found.join(held.select("doc_id", "lang"), "doc_id").filter("language = lang").count()
+    right = with_language(held, trained, "text").filter("language = lang").count()
     assert right / held.count() > 0.97
 
 
@@ -95,9 +94,21 @@ def test_undecidable_language(spark):
     df = spark.createDataFrame(
         [(1, "the dog"), (2, "1234 !!"), (3, None), (4, ""), (5, "le the")], "doc_id LONG, clean_text STRING"
     )
-    known = detect_language(df, language_profile(train))
-    got = {r.doc_id: r.language for r in with_language(df, known).collect()}
-    assert got == {1: "en", 2: "unknown", 3: "unknown", 4: "unknown", 5: "en"}
+    profile = language_profile(train)
+    want = {1: "en", 2: "unknown", 3: "unknown", 4: "unknown", 5: "en"}
+    for bound in (10, 0):
+        got = with_language(df, profile, profile_bound=bound).collect()
+        assert {r.doc_id: r.language for r in got} == want
+    assert with_language(df.limit(0), profile).count() == 0
+    nothing_known = with_language(df, profile.limit(0)).select("language").distinct().collect()
+    assert [r.language for r in nothing_known] == ["unknown"]
+
+
+def test_language_needs_no_shuffle(spark):
+    train = spark.createDataFrame([("the cat", "en")], "text STRING, lang STRING")
+    df = spark.range(5).selectExpr("id AS doc_id", "'the' AS clean_text")
+    plan = with_language(df, language_profile(train))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ArrowEvalPython" in plan
 
 
 def test_batch_stats(spark):
