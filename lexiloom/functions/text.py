@@ -38,10 +38,12 @@ _SIGNATURE = rf"\n{SPACE_IN_LINE}*+--{SPACE_IN_LINE}*+(?:\n(?s:.*))?\z"
 _TAG = r"<[^>]++>"
 _URL = rf"https?://[^{SPACE}]++|www\.[^{SPACE}]++"
 # A whole token with an @ after its first character and, at least two further
-# on, a dot that is not its last character.
+# on, a dot that is not its last character. Tokens are entered from the
+# whitespace before them, which spares a lookbehind at every position, and the
+# inner classes are intersections, which match much faster than negated unions.
 _EMAIL = (
-    rf"(?<![^{SPACE}])[^{SPACE}][^@{SPACE}]*+@"
-    rf"[^{SPACE}][^.{SPACE}]*+\.[^{SPACE}]++"
+    rf"({SPACE})[^{SPACE}][[^{SPACE}]&&[^@]]*+@"
+    rf"[^{SPACE}][[^{SPACE}]&&[^.]]*+\.[^{SPACE}]++"
 )
 # A lone plain blank is already normal, so only other runs are rewritten.
 _RUN = rf"{SPACE}(?:(?<!\x20){SPACE}*+|{SPACE}++)"
@@ -110,10 +112,10 @@ def _drop(pattern: str, by: str = " ") -> Callable[[Column], Column]:
     return lambda value: F.regexp_replace(value, pattern, by)
 
 
-def _by_line(pattern: str) -> Callable[[Column], Column]:
-    # A leading newline makes every line, the first too, start with one.
+def _after_newline(pattern: str, by: str = "") -> Callable[[Column], Column]:
+    # A leading newline makes every line and token, the first too, follow one.
     return lambda value: F.substring(
-        F.regexp_replace(F.concat(F.lit("\n"), value), pattern, ""), 2, 2**31 - 1
+        F.regexp_replace(F.concat(F.lit("\n"), value), pattern, by), 2, 2**31 - 1
     )
 
 
@@ -121,11 +123,11 @@ def _headers_raw(text: Column) -> Column:
     return F.regexp_extract(text, _BODY, 0)
 
 
-_quotes_raw = _when(_holds(">"), _by_line(_QUOTED_LINE))
-_signature_raw = _when(_holds("--"), _by_line(_SIGNATURE))
+_quotes_raw = _when(_holds(">"), _after_newline(_QUOTED_LINE))
+_signature_raw = _when(_holds("--"), _after_newline(_SIGNATURE))
 _html_raw = _when(_holds("<"), _drop(_TAG))
 _urls_raw = _when(lambda v: F.contains(v, F.lit("http")) | F.contains(v, F.lit("www.")), _drop(_URL))
-_emails_raw = _when(_holds("@"), _drop(_EMAIL))
+_emails_raw = _when(_holds("@"), _after_newline(_EMAIL, "$1 "))
 _emoji_raw = _when(lambda v: F.rlike(v, F.lit(f"[{_OUTER_PICTURE}]")), _drop(_EMOJI))
 
 

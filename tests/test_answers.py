@@ -9,7 +9,7 @@ from lexiloom.functions.grounding import is_grounded
 from lexiloom.functions.tokens import counted_tokens, estimated_tokens
 from lexiloom.operators.answers import ABSTAIN_PHRASE, gate, log_records
 from lexiloom.operators.attempts import classify_attempts, resolve_requests
-from lexiloom.operators.contexts import ABSTAIN_SENTENCE, context_blocks, messages, rank_hits
+from lexiloom.operators.contexts import ABSTAIN_SENTENCE, context_blocks, messages, rank_hits, summarize_hits
 from lexiloom.operators.perf import query_log_metrics
 from lexiloom.plans.answering import answer_questions, build_prompts
 from lexiloom.sources.logs import append_query_log, read_query_log
@@ -195,7 +195,7 @@ def test_statuses(results):
 
 def test_gate_is_strict(results):
     questions, found, _ = results
-    got = {r.query_id: r.out_of_domain for r in gate(questions, found).collect()}
+    got = {r.query_id: r.out_of_domain for r in gate(questions, summarize_hits(found)).collect()}
     assert got == {1: False, 2: True, 3: True, 4: False, 5: False, 6: False, 7: False}
     assert {r.query_id for r in build_prompts(questions, found).collect()} == {1, 4, 5, 6, 7}
 
