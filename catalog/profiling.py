@@ -9,7 +9,8 @@ from catalog.inputs import documents, posts, table
 from catalog.registry import query
 from lexiloom.operators import language, perf, profile, reports
 from lexiloom.operators.cleaning import process_documents
-from lexiloom.plans.corpus import prepare_corpus
+from lexiloom.plans.corpus import prepare_corpus, publish
+from lexiloom.sources.scratch import scratch_path
 
 _RAW = f"""raw_profile AS (SELECT count(*) AS total_docs,
   count(*) FILTER (text IS NULL) AS null_count,
@@ -133,6 +134,7 @@ def profile_report(spark, folder):
 def quality_report(spark, folder):
     words = language.language_profile(documents(spark, folder))
     processed = prepare_corpus(posts(spark, folder), words)
+    processed = publish(processed, scratch_path(spark, "processed"))
     return reports.quality_report(processed).select("section", "metric", "value")
 
 

@@ -14,6 +14,7 @@ from lexiloom.operators.encoder import hash_embed as embed_hashed
 from lexiloom.operators.vectors import CellIndex
 from lexiloom.operators.vectors import vector_topk as search_vectors
 from lexiloom.plans.retrieval import positive_hits, retrieve
+from lexiloom.sources.scratch import scratch_path
 
 
 def _md5_hash(term):
@@ -74,9 +75,21 @@ def vector_topk(spark, folder):
 
 @query("vector_topk_lsh", _TOPK)
 def vector_topk_cells(spark, folder):
-    """Through the cell index, which must find the same rows."""
+    """Through a stored cell index, which must find the same rows."""
     vectors = table(spark, folder, "embeddings")
-    return CellIndex.build(vectors).search(_centroids(vectors))
+    index = CellIndex.build(vectors, path=scratch_path(spark, "cells"))
+    return index.search(_centroids(vectors))
+
+
+@query(
+    "tfidf_topk_stored",
+    f"WITH {S.PASSAGES}, {S.tfidf_hits('passages')} SELECT query_id, rank, doc_id, score FROM hits",
+)
+def tfidf_topk_stored(spark, folder):
+    """Against an index that was written and read back."""
+    path = scratch_path(spark, "tfidf")
+    tfidf.TfidfIndex.build(documents(spark, folder)).write(path)
+    return tfidf.TfidfIndex.read(spark, path).search(passages(spark, folder))
 
 
 @query(

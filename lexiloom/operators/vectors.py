@@ -17,8 +17,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.plans.sizing import row_count_within
-
 # Default result count and the precision distances are ranked at.
 TOP_K = 4
 DIGITS = 6
@@ -144,15 +142,15 @@ def vector_topk(
     """
     if k < 1:
         raise ValueError("k must be positive")
-    if row_count_within(queries, query_block) is not None:
-        hits = _broadcast_hits(queries, vectors, k, query_id, vec_id, vector_col)
+    asked = queries.select(query_id, vector_col).limit(query_block + 1).toArrow()
+    if asked.num_rows <= query_block:
+        hits = _broadcast_hits(queries, asked, vectors, k, query_id, vec_id, vector_col)
     else:
         hits = _blocked_hits(queries, vectors, k, query_id, vec_id, vector_col, query_block, vector_block)
     return _rank(hits, k)
 
 
-def _broadcast_hits(queries, vectors, k, query_id, vec_id, vector_col) -> DataFrame:
-    asked = queries.select(query_id, vector_col).toArrow()
+def _broadcast_hits(queries, asked, vectors, k, query_id, vec_id, vector_col) -> DataFrame:
     held = queries.sparkSession.sparkContext.broadcast(
         (_ids(asked.column(0)), matrix(asked.column(1)) if asked.num_rows else np.empty((0, 0)))
     )
@@ -336,7 +334,9 @@ class CellIndex:
         left = wanted.withColumn(
             "qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")
         ).withColumn("salt", F.explode(F.sequence(F.lit(0), spread[F.col("cell")] - 1)))
-        right = self.assigned.select(
+        # At most one row per pivot; of a stored index only these cells are read.
+        cells = F.broadcast(wanted.select("cell").distinct())
+        right = self.assigned.join(cells, "cell", "left_semi").select(
             self.vec_id,
             self.vector_col,
             "cell",

@@ -23,6 +23,15 @@ def prepare_corpus(
     return with_language(processed, profile, "clean_text", id_col)
 
 
+def publish(processed: DataFrame, path: str) -> DataFrame:
+    """Write the processed table and return it as stored.
+
+    Reports, chunking and indexing each read it, so it is computed once here.
+    """
+    processed.write.mode("overwrite").parquet(path)
+    return processed.sparkSession.read.parquet(path)
+
+
 def ingest(
     processed: DataFrame,
     collection: Collection,

@@ -65,6 +65,7 @@ def test_collection_upsert(spark, tmp_path):
     assert store.upsert(batch(spark, ("a", "last", "x")), replace_docs=True) == 3
     assert texts(store) == {"a_0": "last", "b_0": "bee"}
     assert Collection(spark, str(tmp_path / "store")).count() == 2
+    assert sorted(p.name for p in (tmp_path / "store").iterdir()) == [f"version={v}" for v in (1, 2, 3)]
 
 
 def test_unfinished_version_is_ignored(spark, tmp_path):
