@@ -243,7 +243,13 @@ class CellIndex:
         pivots = matrix(chosen.column(1)) if chosen.num_rows else np.empty((0, 0))
         assigned = _assign(vectors.select(vec_id, vector_col), pivots)
         if path is not None:
-            assigned.write.mode("overwrite").partitionBy("cell").parquet(path)
+            # Ranged, so that a cell fills few files and a large cell several.
+            (
+                assigned.repartitionByRange("cell", vec_id)
+                .write.mode("overwrite")
+                .partitionBy("cell")
+                .parquet(path)
+            )
             assigned = vectors.sparkSession.read.parquet(path)
         return cls(pivots, assigned, vec_id, vector_col)
 
