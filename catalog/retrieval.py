@@ -108,18 +108,42 @@ def batch_query_counts(spark, folder):
     )
 
 
-@query("text_vector_topk")
+_EMBEDDED = f"""{S.chunked('documents', 'text', 1000, 100)},
+texts AS (SELECT 'c' AS kind, doc_id || '_' || chunk_index AS id, chunk_text AS t FROM chunked
+  UNION ALL SELECT 'q', CAST(item_id AS VARCHAR), text FROM benchmark WHERE {S.valid('text')}),
+hashes AS (SELECT kind, id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) AS h FROM
+  (SELECT kind, id, {S.terms('t')} AS term FROM texts)),
+sums AS (SELECT kind, id, (h // 2) % 64 AS pos, sum(CASE WHEN h % 2 = 1 THEN -1 ELSE 1 END) AS v
+  FROM hashes GROUP BY ALL),
+squares AS (SELECT kind, id, sum(v * v) AS square FROM sums GROUP BY ALL),
+units AS (SELECT kind, id, pos, CAST(CAST(v / sqrt(square) AS FLOAT) AS DOUBLE) AS x
+  FROM sums JOIN squares USING (kind, id) WHERE square > 0),
+norms AS (SELECT t.kind, t.id, t.t, coalesce(sum(x * x), 0) AS norm
+  FROM texts t LEFT JOIN units u ON u.kind = t.kind AND u.id = t.id GROUP BY ALL),
+dots AS (SELECT q.id AS q, c.id AS c, sum(q.x * c.x) AS dot FROM units q JOIN units c USING (pos)
+  WHERE q.kind = 'q' AND c.kind = 'c' GROUP BY ALL),
+pairs AS (SELECT q.id AS q, c.id AS c, c.t, round(greatest(q.norm + c.norm - 2 * coalesce(dot, 0), 0), 6) AS distance
+  FROM (SELECT * FROM norms WHERE kind = 'q') q CROSS JOIN (SELECT * FROM norms WHERE kind = 'c') c
+  LEFT JOIN dots d ON d.q = q.id AND d.c = c.id)"""
+
+
+@query(
+    "text_vector_topk",
+    f"""WITH {_EMBEDDED}
+SELECT CAST(q AS BIGINT) AS query_id, row_number() OVER (PARTITION BY q ORDER BY distance, c) AS rank,
+  c AS doc_id, t AS text, round(1 / (1 + distance), 6) AS score FROM pairs QUALIFY rank <= 4""",
+)
 def text_vector_topk(spark, folder):
     """Passages against the embedded chunks of all documents."""
     chunks = chunk_documents(documents(spark, folder), "text", category_col="source")
-    embedded = embed_hashed(chunks.select("chunk_id", "chunk_text"), "chunk_text")
+    embedded = embed_hashed(chunks.select("chunk_id", "chunk_text"), "chunk_text", 64, _md5_hash)
     return retrieve(
         passages(spark, folder),
         embedded,
         "vector",
         id_col="chunk_id",
         text_col="chunk_text",
-        embed_queries=lambda asked: embed_hashed(asked, "query"),
+        embed_queries=lambda asked: embed_hashed(asked, "query", 64, _md5_hash),
     )
 
 
