@@ -166,9 +166,7 @@ def piece_lengths(c: str, size: int, separators: list[str]) -> str:
     if not separators or separators[0] == "":
         return f"list_transform(range(length({c})), lambda z: 1)"
     sep, v = separators[0], f"p{len(separators)}"
-    mark = "'" + sep + "'" if sep.strip() == sep and sep else "'" + sep + "'"
-    if "\n" in sep:
-        mark = " || ".join(["chr(10)"] * len(sep))
+    mark = " || ".join(["chr(10)"] * len(sep)) if "\n" in sep else f"'{sep}'"
     parts = f"string_split({c}, {mark})"
     whole = (
         f"list_filter(list_transform({parts}, lambda {v}, i{v}: "
