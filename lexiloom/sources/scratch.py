@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,11 +13,14 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder the session names in spark.checkpoint.dir.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    A local session without that setting gets one folder, which is set in the
+    session and removed when the process ends; any other session must name one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "")
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="lexiloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
