@@ -58,26 +58,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    out = np.empty(max(n, 1), dtype=np.uint64)
-    out[0] = 1
-    filled = 1
-    factor = base
-    while filled < len(out):  # doubles what is there
-        take = min(filled, len(out) - filled)
-        out[filled : filled + take] = out[:take] * np.uint64(factor)
-        filled += take
-        factor = factor * factor % (1 << 64)
-    return out
+def _weight(places: np.ndarray) -> np.ndarray:
+    """An odd factor for each place in a word."""
+    return mix((places.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
-_POWERS = mix(_powers(1 << 12) * np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1)
+_WEIGHTS = _weight(np.arange(1 << 12))
 
 
 def _weights(places: np.ndarray) -> np.ndarray:
-    if len(places) and places.max() >= len(_POWERS):
-        return mix((places.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-    return _POWERS[places]
+    out = _WEIGHTS[np.minimum(places, len(_WEIGHTS) - 1)]
+    far = places >= len(_WEIGHTS)
+    if far.any():
+        out[far] = _weight(places[far])
+    return out
 
 
 def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,12 +107,8 @@ def _piece_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     if not len(starts):
         return starts.astype(np.uint64), starts, ends
     lengths = ends - starts
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))[: len(data)] if starts[0] == 0 else None
-    if place is None:
-        place = np.arange(len(data))
-        place[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, len(data))))
-        place[: starts[0]] = 0
-    values = np.where(_IS_BLANK[data], 0, data.astype(np.uint64) + np.uint64(1)).astype(np.uint64)
-    values *= _weights(np.where(_IS_BLANK[data], 0, place))
-    sums = np.add.reduceat(values, starts)
+    letters = ~_IS_BLANK[data]
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    values = (data[letters].astype(np.uint64) + np.uint64(1)) * _weights(place)
+    sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
     return mix(sums + mix(lengths.astype(np.uint64))), starts, ends

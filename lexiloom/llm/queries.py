@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontamination, host_rules, language_mixture, pii
+from lexiloom.llm import bpe, decontamination, host_rules, jaccard_join, language_mixture, pii
 from lexiloom.llm.common import remainder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -83,6 +83,10 @@ def op7_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.judge(table(spark, folder, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.components(table(spark, folder, "documents"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = docs.select("doc_id", bpe.digests(F.col("text"), vocabulary_path()).alias("found"))
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op7_hosts": op7_hosts,
+    "op9_jaccard": op9_jaccard,
     "op10_bpe": op10_bpe,
 }
 
