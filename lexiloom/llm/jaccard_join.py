@@ -9,11 +9,10 @@ before the whole sets are compared.
 Layout for large data:
 
 * Sets of equal content are one class; only classes are compared.
-* Frequency is a table of fixed size, summed over all documents. It only shapes
-  the first order, and any order gives the same result.
-* One pass counts prefix tokens; only tokens of several classes are kept as
-  postings. Texts are never shuffled: sets are made anew where they are needed,
-  and a bit table of fixed size keeps other documents out.
+* The first order comes from the number of documents of every token. It only
+  decides how much work there is: any order gives the same result.
+* Texts are never shuffled: sets are made anew where they are needed, and a bit
+  table of fixed size keeps other documents out.
 * No posting list emits all its pairs at first. In each round every component
   in a list meets one leader of that list, so pairs grow with the postings;
   links merge components, and lists with one component left are done. Once a
@@ -24,12 +23,13 @@ Layout for large data:
 Cases: null, empty and blank texts have no tokens, link with nothing and are
 components of their own; a text with fewer words than a token is one token;
 repeated rows and equal texts share a component; null ids take part but name no
-component. Shingles are compared by 64-bit hashes and classes by 128 bits.
+component. Shingles are 64-bit hashes (pairs compare 48 bits) and classes 128-bit sums.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +43,15 @@ WORDS = 5
 PERCENT = 75
 #: Orders that a pair must pass besides the index's.
 FURTHER_ORDERS = 2
-#: Counters of the frequency table.
-COUNTERS = 1 << 18
-#: A counter this many standard deviations above the mean marks frequent tokens.
-DEVIATIONS = 8
+#: Fields of the frequency table.
+FIELDS = 1 << 20
 #: Rounds of one leader per list, at most; pairs left over are all compared.
 ROUNDS = 8
 #: Bits of a membership table per entry, and at most.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 28
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
-_FIELD = np.uint64(COUNTERS - 1)
+_FIELD = np.uint64(FIELDS - 1)
 
 
 class Sets:
@@ -90,15 +88,32 @@ class Sets:
         both = np.stack(halves, axis=1).tobytes() if len(self) else b""
         return [both[16 * i : 16 * i + 16] for i in range(len(self))]
 
-    def firsts(self, rank: np.ndarray, percent: int) -> list[np.ndarray]:
-        """Prefixes under the first order: rank, then hash."""
-        ranks, out = rank[(self.tokens & _FIELD).astype(np.int64)], []
+    def shared_firsts(self, order: Order, percent: int) -> list[np.ndarray]:
+        """Tokens of each prefix under the first order that other documents may have too."""
+        ranks, out = order.of(self.tokens), []
         for a, b in zip(self.edges[:-1].tolist(), self.edges[1:].tolist()):
-            own, r = self.tokens[a:b], ranks[a:b]
-            out.append((own[np.argsort(r, kind="stable")] if r.any() else own)[: prefix_size(b - a, percent)])
+            first = np.argsort(ranks[a:b], kind="stable")[: prefix_size(b - a, percent)]
+            out.append(self.tokens[a:b][first[ranks[a:b][first] > 0]])
         return out
 
 
+@dataclass
+class Order:
+    """The index's order: tokens of one document, then rare ones, then frequent ones; ties by hash.
+
+    ``bits`` tell which tokens several documents have, and ``steps`` hold the
+    doublings of their frequency by hash field. Both have a size that is fixed
+    by their limits; when they are full, more tokens pass for shared or
+    frequent, which changes the order but no result.
+    """
+
+    bits: np.ndarray
+    steps: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        return np.where(_held(self.bits, tokens), self.steps[(tokens & _FIELD).astype(np.int64)] + 1, 0)
+
+
 def _runs(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` words."""
     if n <= 0 or len(words) < n:
@@ -114,6 +129,17 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of every token, which is what sets are compared by."""
+    return tokens.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, 2:] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def _share(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
@@ -130,7 +156,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, at_end=None) -> DataFrame:
+def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each) -> DataFrame:
     """Arrow pass over (id, text): ``each(ids, sets)`` gives columns for a chunk of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +167,6 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, at_e
                 out = each(ids.slice(a, b - a), Sets(texts[a:b]), state)
                 if out is not None:
                     yield out
-        if at_end is not None and state:
-            yield at_end(state)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -157,24 +181,22 @@ def _members(docs, id_col, text_col) -> DataFrame:
     return _mapped(docs, id_col, text_col, "id bigint, n bigint, key binary", each)
 
 
-def _frequent(docs, id_col, text_col) -> np.ndarray:
-    """Rank of each counter: 0 for tokens as rare as most, else a step per doubling."""
-
-    def each(ids, sets, state):
-        total = state.setdefault("n", np.zeros(COUNTERS, dtype=np.int64))
-        total += np.bincount((sets.tokens & _FIELD).astype(np.int64), minlength=COUNTERS)
+def _order(docs, id_col, text_col) -> Order:
+    """From the number of documents of every token."""
 
-    def at_end(state):
-        at = np.flatnonzero(state["n"])
-        return pa.RecordBatch.from_pydict({"at": at, "n": state["n"][at]})
+    def each(ids, sets, _):
+        return pa.RecordBatch.from_arrays([pa.array(sets.tokens.view(np.int64))], names=["token"])
 
-    found = _mapped(docs, id_col, text_col, "at bigint, n bigint", each, at_end)
-    rows = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # COUNTERS rows at most
-    n = np.zeros(COUNTERS)
-    n[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    usual = np.median(n)
-    above = n - usual - DEVIATIONS * np.sqrt(max(usual, 1))
-    return np.where(above > 0, np.log2(np.maximum(above, 1)) + 1, 0).astype(np.uint8)
+    spark = docs.sparkSession
+    path = scratch_path(spark, "jaccard-tokens")
+    counts = _mapped(docs, id_col, text_col, "token bigint", each).groupBy("token").agg(F.count("*").alias("n"))
+    counts.filter("n > 1").write.parquet(path)
+    shared = spark.read.parquet(path)
+    field = F.expr(f"token & {FIELDS - 1}L").alias("at")
+    rows = shared.groupBy(field).agg(F.max("n").alias("n")).toArrow()  # FIELDS rows at most
+    steps = np.zeros(FIELDS, dtype=np.uint8)
+    steps[rows.column("at").to_numpy()] = np.log2(rows.column("n").to_numpy()).astype(np.uint8)
+    return Order(_bits(shared.select(F.col("token").alias("h"))), steps)
 
 
 def _bits(hashes: DataFrame, column: str = "h") -> np.ndarray:
@@ -219,43 +241,25 @@ def _first_half(key: str) -> Column:
     return out
 
 
-def _postings(docs, id_col, text_col, rank, percent) -> DataFrame:
-    """(token, class, n) for prefix tokens that several classes have."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(rank)
-
-    def tokens(ids, sets, _):
-        firsts, half = sets.firsts(shared.value, percent), _key_hash(sets.keys())
-        of = np.repeat(np.arange(len(sets)), [len(f) for f in firsts])
-        all_firsts = np.concatenate(firsts) if firsts else np.zeros(0, np.uint64)
-        return pa.RecordBatch.from_pydict({"token": all_firsts.view(np.int64), "half": half[of].view(np.int64)})
-
-    seen = _mapped(docs, id_col, text_col, "token bigint, half bigint", tokens)
-    several = (
-        seen.groupBy("token").agg(F.min("half").alias("a"), F.max("half").alias("b")).filter("a <> b").select("token")
-    )
-    path = scratch_path(spark, "jaccard-tokens")
-    several.write.parquet(path)
-    several = spark.read.parquet(path)
-    table = spark.sparkContext.broadcast(_bits(several.select(F.col("token").alias("h"))))
+def _postings(docs, id_col, text_col, order: Order, percent: int) -> DataFrame:
+    """(token, class, n) for prefix tokens that several documents may have."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def postings(ids, sets, _):
-        rows = {"token": [], "key": [], "n": []}
-        for f, key, n in zip(sets.firsts(shared.value, percent), sets.keys(), sets.sizes):
-            f = f[_held(table.value, f)]
-            if len(f):
-                rows["token"].append(f.view(np.int64))
-                rows["key"] += [key] * len(f)
-                rows["n"].append(np.full(len(f), n))
-        if not rows["key"]:
+        firsts, keys = sets.shared_firsts(shared.value, percent), sets.keys()
+        of = np.repeat(np.arange(len(sets)), [len(f) for f in firsts])
+        if not len(of):
             return None
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(rows["token"])), pa.array(rows["key"], pa.binary()), pa.array(np.concatenate(rows["n"]))],
+            [
+                pa.array(np.concatenate(firsts).view(np.int64)),
+                pa.array(keys, pa.binary()).take(pa.array(of)),
+                pa.array(sets.sizes[of]),
+            ],
             names=["token", "key", "n"],
         )
 
-    found = _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint", postings)
-    return found.join(several, "token", "left_semi").distinct()
+    return _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint", postings).distinct()
 
 
 def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
@@ -271,7 +275,7 @@ def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
             if keys[i] not in done:  # copies within a task; others are dropped below
                 if len(done) < 100_000:
                     done.add(keys[i])
-                rows.append((keys[i], sets[i].tobytes()))
+                rows.append((keys[i], packed(sets[i])))
         if not rows:
             return None
         return pa.RecordBatch.from_arrays(
@@ -290,8 +294,8 @@ def _verified(docs, id_col, text_col, pairs: DataFrame, percent: int) -> DataFra
 
     @F.arrow_udf("boolean")
     def test(a: pa.Array, b: pa.Array) -> pa.Array:
-        load = lambda x: np.frombuffer(x, dtype=np.uint64)
-        return pa.array([linked(load(x), load(y), percent) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+        pairs = zip(a.to_pylist(), b.to_pylist())
+        return pa.array([linked(unpacked(x), unpacked(y), percent) for x, y in pairs], pa.bool_())
 
     met = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
@@ -386,8 +390,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return spark.read.parquet(path)
 
     members = stored(_members(docs, id_col, text_col), "members")
-    rank = _frequent(docs, id_col, text_col)
-    postings = stored(_postings(docs, id_col, text_col, rank, percent), "postings")
+    order = _order(docs, id_col, text_col)
+    postings = stored(_postings(docs, id_col, text_col, order, percent), "postings")
     links, labels = None, None
     for seed in range(ROUNDS + 1):
         left = stored(_mixed(_labelled(postings.select("token", "key", "n"), labels)), "mixed")
