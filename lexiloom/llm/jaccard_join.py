@@ -3,8 +3,9 @@
 Two sets with Jaccard similarity t or more share a token among the first
 ``n - ceil(t n) + 1`` tokens of each under *any* order of all tokens. The first
 order puts frequent tokens last and serves as an inverted index; a pair that
-meets there must also share a prefix token under further, independent orders
-before the whole sets are compared.
+meets there must be able to reach the overlap from the place of its token, and
+must share a prefix token under further, independent orders, before the whole
+sets are compared.
 
 Layout for large data:
 
@@ -46,7 +47,7 @@ FURTHER_ORDERS = 2
 #: Fields of the frequency table.
 FIELDS = 1 << 20
 #: Rounds of one leader per list, at most; pairs left over are all compared.
-ROUNDS = 8
+ROUNDS = 3
 #: Bits of a membership table per entry, and at most.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 28
 
@@ -88,13 +89,18 @@ class Sets:
         both = np.stack(halves, axis=1).tobytes() if len(self) else b""
         return [both[16 * i : 16 * i + 16] for i in range(len(self))]
 
-    def shared_firsts(self, order: Order, percent: int) -> list[np.ndarray]:
-        """Tokens of each prefix under the first order that other documents may have too."""
-        ranks, out = order.of(self.tokens), []
-        for a, b in zip(self.edges[:-1].tolist(), self.edges[1:].tolist()):
+    def shared_firsts(self, order: Order, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Set number, token and place of the prefix tokens that other documents may have too."""
+        ranks, parts = order.of(self.tokens), []
+        for k, (a, b) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
             first = np.argsort(ranks[a:b], kind="stable")[: prefix_size(b - a, percent)]
-            out.append(self.tokens[a:b][first[ranks[a:b][first] > 0]])
-        return out
+            places = np.flatnonzero(ranks[a:b][first] > 0)
+            if len(places):
+                parts.append((np.full(len(places), k), self.tokens[a:b][first[places]], places))
+        if not parts:
+            none = np.zeros(0, dtype=np.int64)
+            return none, none.astype(np.uint64), none
+        return tuple(np.concatenate(column) for column in zip(*parts))
 
 
 @dataclass
@@ -242,24 +248,18 @@ def _first_half(key: str) -> Column:
 
 
 def _postings(docs, id_col, text_col, order: Order, percent: int) -> DataFrame:
-    """(token, class, n) for prefix tokens that several documents may have."""
+    """(token, class, n, place) for prefix tokens that several documents may have."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def postings(ids, sets, _):
-        firsts, keys = sets.shared_firsts(shared.value, percent), sets.keys()
-        of = np.repeat(np.arange(len(sets)), [len(f) for f in firsts])
-        if not len(of):
-            return None
+        of, tokens, places = sets.shared_firsts(shared.value, percent)
+        keys = pa.array(sets.keys(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate(firsts).view(np.int64)),
-                pa.array(keys, pa.binary()).take(pa.array(of)),
-                pa.array(sets.sizes[of]),
-            ],
-            names=["token", "key", "n"],
+            [pa.array(tokens.view(np.int64)), keys.take(pa.array(of)), pa.array(sets.sizes[of]), pa.array(places)],
+            names=["token", "key", "n", "place"],
         )
 
-    return _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint", postings).distinct()
+    return _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint, place bigint", postings).distinct()
 
 
 def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
@@ -359,25 +359,33 @@ def _met(postings: DataFrame, seed: int, percent: int) -> DataFrame:
     """One document of each component in a list with the list's leader."""
     # In the first round a document's place is the same in all lists, so alike documents have one leader.
     place = F.xxhash64(F.lit(seed), "key") if not seed else F.xxhash64(F.lit(seed), "token", "key")
-    one = postings.groupBy("token", "component").agg(F.min(F.struct(place.alias("p"), "key", "n")).alias("d"))
+    one = postings.groupBy("token", "component").agg(F.min(F.struct(place.alias("p"), "key", "n", "place")).alias("d"))
     leader = one.groupBy("token").agg(F.min("d").alias("l"))
-    return _fitting(
-        one.join(leader, "token").select(
-            F.col("d.key").alias("a"), F.col("d.n").alias("n"), F.col("l.key").alias("b"), F.col("l.n").alias("m")
-        ),
-        percent,
-    )
+    met = one.join(leader, "token").filter(_fits("d.n", "d.place", "l.n", "l.place", percent))
+    return met.select(F.col("d.key").alias("a"), F.col("l.key").alias("b")).filter("a <> b").distinct()
 
 
-def _fitting(pairs: DataFrame, percent: int) -> DataFrame:
-    fits = (F.col("a") != F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    return pairs.filter(fits).select("a", "b").distinct()
+def _fits(n: str, i: str, m: str, j: str, percent: int) -> Column:
+    """Whether sets of sizes n and m can link if the first token they share is at places i and j."""
+    most = F.least(F.col(n) - F.col(i), F.col(m) - F.col(j))
+    return (100 + percent) * most >= percent * (F.col(n) + F.col(m))
 
 
 def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    other = postings.select("token", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    joined = postings.withColumnRenamed("key", "a").join(other, "token").filter("component <> c and a < b")
-    return _fitting(joined, percent)
+    """All pairs of different components in a list that sizes and places allow.
+
+    Lists are matched by their distinct (size, place) first, so a long list of
+    documents that cannot link makes no pairs.
+    """
+    kinds = postings.select("token", "n", "place").distinct()
+    other = kinds.select("token", F.col("n").alias("m"), F.col("place").alias("j"))
+    able = kinds.join(other, "token").filter(_fits("n", "place", "m", "j", percent))
+    left = postings.withColumnRenamed("key", "a").join(able, ["token", "n", "place"])
+    right = postings.select(
+        "token", F.col("key").alias("b"), F.col("n").alias("m"), F.col("place").alias("j"), F.col("component").alias("c")
+    )
+    joined = left.join(right, ["token", "m", "j"]).filter("component <> c and a < b")
+    return joined.select("a", "b").distinct()
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -394,7 +402,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     postings = stored(_postings(docs, id_col, text_col, order, percent), "postings")
     links, labels = None, None
     for seed in range(ROUNDS + 1):
-        left = stored(_mixed(_labelled(postings.select("token", "key", "n"), labels)), "mixed")
+        left = stored(_mixed(_labelled(postings.select("token", "key", "n", "place"), labels)), "mixed")
         if left.isEmpty():
             break
         last = seed == ROUNDS
