@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontamination, host_rules, jaccard_join, language_mixture, pii
+from lexiloom.llm import (
+    bpe,
+    decontamination,
+    host_rules,
+    jaccard_join,
+    language_mixture,
+    licences,
+    main_text,
+    pii,
+    warc_zip,
+)
 from lexiloom.llm.common import remainder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -79,10 +89,38 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "language.lang_pred", "language.score")
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc_zip.archive(spark, table(spark, folder, "pages"))
+    found = warc_zip.read(archives, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+last AS (SELECT sha1(h) AS d, max(page_id) AS r FROM p WHERE strlen(h) >= 1000 GROUP BY 1)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN r IS NULL OR r = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN r <> page_id THEN r END AS refers_to
+FROM p LEFT JOIN last ON d = sha1(h) AND strlen(h) >= 1000
+"""
+
+
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    text = main_text.main_text(F.col("html")).alias("text")
+    found = table(spark, folder, "pages").select("page_id", "url", text)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.judge(table(spark, folder, "documents"))
 
 
+def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = docs.select("doc_id", licences.licences(F.col("text")).alias("found"))
+    return found.select("doc_id", "found.*")
+
+
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.components(table(spark, folder, "documents"))
 
@@ -97,9 +135,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
+    "op4_warc": op4_warc,
+    "op5_html": op5_html,
     "op7_hosts": op7_hosts,
+    "op8_licences": op8_licences,
     "op9_jaccard": op9_jaccard,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op4_warc": OP4_SQL}
