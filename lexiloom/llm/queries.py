@@ -15,6 +15,7 @@ from lexiloom.llm import (
     language_mixture,
     licences,
     main_text,
+    maxent_lm,
     pii,
     warc_zip,
 )
@@ -111,6 +112,13 @@ def op5_html(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = remainder("doc_id", 7) == 2
+    model = maxent_lm.Model.fit(docs.filter(~held_out))
+    return maxent_lm.score(docs, model, held_out)
+
+
 def op7_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.judge(table(spark, folder, "documents"))
 
@@ -137,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_warc": op4_warc,
     "op5_html": op5_html,
+    "op6_maxent": op6_maxent,
     "op7_hosts": op7_hosts,
     "op8_licences": op8_licences,
     "op9_jaccard": op9_jaccard,
