@@ -135,10 +135,12 @@ _S = r"[ \t]{1,3}"
 _DOT = r"(?:dot|punkt|punto|point)"
 _NAME = r"[A-Za-z0-9-]{1,63}"
 _BRACKET_DOT = rf"{_B}[\[({{<]{_B}(?:{_DOT}|\.){_B}[\])}}>]{_B}"
+# Last labels that, after a plain word "dot", tell a domain from prose.
+_LAST = "com|org|net|edu|gov|mil|info|biz|io|ai|app|dev|example|test|invalid|uk|de|fr|es|nl|eu|ca|au|jp|cn|br|mx|ch"
 # An at between brackets, as a character reference, or as a word before a domain with a dot in disguise.
 _AT_SIGN = re.compile(
     rf"{_B}[\[({{<]{_B}(?:at|@|arroba){_B}[\])}}>]{_B}|&#64;|&commat;|&#x40;"
-    rf"|{_S}(?:at|arroba){_S}(?={_NAME}(?:\.{_NAME})*(?:{_S}dot{_S}|{_BRACKET_DOT}){_NAME})",
+    rf"|{_S}(?:at|arroba){_S}(?={_NAME}(?:(?:\.|{_S}dot{_S}){_NAME})*(?:{_BRACKET_DOT}{_NAME}|{_S}dot{_S}(?:{_LAST})(?![A-Za-z0-9-])))",
     re.I,
 )
 _DOT_SIGN = re.compile(rf"(?<=[A-Za-z0-9])(?:{_BRACKET_DOT}|&#46;|&period;|&#x2e;|{_S}dot{_S})(?=[A-Za-z0-9])", re.I)

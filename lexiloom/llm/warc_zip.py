@@ -259,7 +259,9 @@ def read(archives: DataFrame, uri_col: str = "uri", with_payload: bool = True) -
                 )
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return blocks(archives, uri_col).repartition(F.col("uri"), F.col("start")).mapInArrow(run, _READ)
+    # A stated number: blocks are tiny rows that stand for much reading, and must not be merged into few tasks.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks(archives, uri_col).repartition(tasks, "uri", "start").mapInArrow(run, _READ)
 
 
 def planned(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
