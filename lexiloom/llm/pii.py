@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexiloom.llm.common import LETTERS
+
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -174,24 +176,68 @@ def _spelled(m: re.Match) -> str:
     return "".join("+" if w == "plus" else _SPELLED[w] for w in words)
 
 
-STEPS: tuple[tuple[re.Pattern, Callable[[re.Match], str | None]], ...] = (
-    (_NO_WIDTH, lambda m: ""),
-    (_LOOKALIKE, lambda m: _LOOK[m[0]]),
-    (_AT_SIGN, lambda m: "@"),
-    (_DOT_SIGN, lambda m: "."),
-    (_LOOSE_AT, lambda m: "@"),
-    (_DIGITS, _spelled),
-    (_PLUS, lambda m: "+"),
+_SPELLED_BYTES = frozenset(w.encode() for w in _SPELLED)
+_DIGIT_BYTES = frozenset(b"0123456789")
+
+
+def _may_look_alike(text: str, low: str) -> bool:
+    """Whether a character is outside Latin-1, or one of the two rewritten ones inside."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return True
+    return "\u00a0" in text or "\u00ad" in text
+
+
+def _may_disguise(text: str, low: str) -> bool:
+    """Whether there is a bracket, a character reference, or the word dot."""
+    if "(" in text or "[" in text or "{" in text or "<" in text:
+        return True
+    return "&#" in text or "&c" in low or "&p" in low or " dot" in low or "\tdot" in low
+
+
+def _may_spell(text: str, low: str) -> bool:
+    """Whether a digit word has a neighbour that can belong to the same number.
+
+    An identifier has four digits or more, so one of them spelled stands next
+    to another digit, a digit word, a dot or a plus.
+    """
+    words = low.encode().translate(LETTERS).split()
+    if _SPELLED_BYTES.isdisjoint(words):
+        return False
+    near = lambda w, end: w in _SPELLED_BYTES or w in (b"dot", b"plus") or w[end] in _DIGIT_BYTES
+    for i, word in enumerate(words):
+        if word in _SPELLED_BYTES:
+            if (i and near(words[i - 1], -1)) or (i + 1 < len(words) and near(words[i + 1], 0)):
+                return True
+    return False
+
+
+# Each step with a cheap test that holds wherever the step could change an identifier.
+STEPS: tuple[tuple[Callable[[str, str], bool], re.Pattern, Callable[[re.Match], str | None]], ...] = (
+    (_may_look_alike, _NO_WIDTH, lambda m: ""),
+    (_may_look_alike, _LOOKALIKE, lambda m: _LOOK[m[0]]),
+    (_may_disguise, _AT_SIGN, lambda m: "@"),
+    (_may_disguise, _DOT_SIGN, lambda m: "."),
+    (lambda text, low: "@" in text, _LOOSE_AT, lambda m: "@"),
+    (_may_spell, _DIGITS, _spelled),
+    (lambda text, low: "plus" in low, _PLUS, lambda m: "+"),
 )
 
 
 def normalise(text: str) -> tuple[str, list[Alignment]]:
     """Normalised text and the alignments of the steps that changed it, first to last."""
     chain: list[Alignment] = []
-    for pattern, output in STEPS[2 if text.isascii() else 0 :]:
+    low = text.lower()
+    for may, pattern, output in STEPS:
+        if not may(text, low):
+            continue
         text, alignment = rewrite(text, pattern, output)
         if alignment:
             chain.append(alignment)
+            low = text.lower()
     return text, chain
 
 
