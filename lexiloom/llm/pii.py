@@ -251,6 +251,9 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     for kind, start, end in detect(plain):
         for alignment in reversed(chain):
             start, end = alignment.source(start, end)
+        # A plain number is complete: a digit word after it is prose.
+        if kind in ("card", "phone") and any(k == kind and a < end and start < b for k, a, b in base):
+            continue
         found.add((kind, start, end))
     return base, sorted(found, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 

@@ -64,6 +64,10 @@ def test_clean_prose_has_no_identifiers():
         assert pii.find(text) == ([], [])
 
 
+def test_prose_after_a_plain_number_stays_outside():
+    assert pii.find("+1 (848) 555-1373 Un an oule") == ([("phone", 0, 17)], [("phone", 0, 17)])
+
+
 def test_pii_columns(spark):
     rows = [(1, "a x@y.com", "k"), (1, "a x@y.com", "k"), (2, None, None), (3, "", "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, found string")
