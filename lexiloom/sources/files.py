@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 _STAMP = "yyyy-MM-dd'T'HH:mm:ss"
 
 

@@ -149,3 +149,10 @@ def test_stream_equals_batch(spark, folder, tmp_path, files_per_trigger):
     got = spark.read.parquet(str(tmp_path / "out"))
     want = clean_and_chunk(documents, category_col="source")
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_csv_keeps_blanks_at_the_edges(spark, tmp_path):
+    texts = ["  lead", "trail  ", "\n two\n", "\ttab\t"]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    write_csv(df, str(tmp_path / "csv"))
+    assert sorted(r.text for r in read_csv(spark, str(tmp_path / "csv"), df.schema).collect()) == sorted(texts)
