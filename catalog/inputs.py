@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 
 from lexiloom.sources.files import read_table, spread
 
-# Mail-like posts around every document, so that each cleaning step has work.
+# Mail-like posts around every document, so that each cleaning step has work, and
+# beside them a missing, a blank and a header-only post per source.
 # The same text runs on both engines.
 POSTS_SQL = """
 SELECT doc_id, source AS category, lang,
-  CASE
-    WHEN doc_id % 50 = 7 THEN NULL
-    WHEN doc_id % 50 = 8 THEN concat('  ', chr(10), chr(9), ' ')
-    WHEN doc_id % 50 = 9 THEN concat('From: a@b.example', chr(10), 'Lines: 0', chr(10), chr(10))
-    ELSE concat(
+  concat(
       'From: user', CAST(doc_id % 97 AS STRING), '@site.example', chr(10),
       'Subject: Re: item ', CAST(doc_id % 31 AS STRING), chr(10),
       'NNTP-Posting-Host: h.example', chr(10), chr(10),
@@ -28,9 +25,15 @@ SELECT doc_id, source AS category, lang,
       CASE WHEN doc_id % 6 = 0 THEN concat('great 😀 👍', chr(10)) ELSE '' END,
       CASE WHEN doc_id % 7 = 0 THEN concat('itâ€™s broken', chr(10)) ELSE '' END,
       CASE WHEN doc_id % 2 = 0 THEN concat('-- ', chr(10), 'A. Name', chr(10), 'a.name@site.example',
-        chr(10)) ELSE '' END)
-  END AS text
+        chr(10)) ELSE '' END) AS text
 FROM {documents}
+UNION ALL SELECT -1 - 3 * min(doc_id), source, min(lang), CAST(NULL AS STRING)
+FROM {documents} GROUP BY source
+UNION ALL SELECT -2 - 3 * min(doc_id), source, min(lang), concat('  ', chr(10), chr(9), ' ')
+FROM {documents} GROUP BY source
+UNION ALL SELECT -3 - 3 * min(doc_id), source, min(lang),
+  concat('From: a@b.example', chr(10), 'Lines: 0', chr(10), chr(10))
+FROM {documents} GROUP BY source
 """
 
 # One captured API attempt per event, three to a request.
@@ -54,20 +57,24 @@ SELECT CAST(floor(event_id / 3) AS BIGINT) AS request_id, CAST(event_id % 3 + 1
 FROM {events}
 """
 
-# Every user turn that an assistant turn follows, with the reply as the model's
-# response; some replies abstain and some calls fail.
+# Every user turn, with the reply that follows as the model's response; a turn
+# without one is a call that got none. Beside them each conversation asks its
+# least user text twice more: one call abstains and one fails.
 DIALOGUES_SQL = """
-SELECT u.conv_id * 1000 + u.turn AS query_id, u.text AS question,
-  CASE WHEN (u.conv_id + u.turn) % 11 = 4 THEN NULL
-       WHEN u.conv_id % 7 = 0 THEN concat('  I cannot answer this from the provided context. ',
-         CAST(u.turn AS STRING))
-       ELSE a.text END AS response,
-  CASE WHEN (u.conv_id + u.turn) % 11 = 4 THEN 'Server error 503' END AS error,
+SELECT u.conv_id * 1000 + u.turn AS query_id, u.text AS question, a.text AS response,
+  CAST(NULL AS STRING) AS error,
   CAST(length(u.text) AS DOUBLE) / 8192 AS retrieval_latency_s,
-  CAST(length(a.text) AS DOUBLE) / 1024 AS generation_latency_s
-FROM {conversations} u JOIN {conversations} a
-  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-WHERE u.role = 'user' AND a.role = 'assistant'
+  coalesce(CAST(length(a.text) AS DOUBLE) / 1024, 0) AS generation_latency_s
+FROM {conversations} u LEFT JOIN {conversations} a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+WHERE u.role = 'user'
+UNION ALL SELECT -1 - 2 * conv_id, min(text),
+  concat('  I cannot answer this from the provided context. ', CAST(conv_id AS STRING)),
+  CAST(NULL AS STRING), CAST(length(min(text)) AS DOUBLE) / 8192, CAST(conv_id % 8 AS DOUBLE) / 1024
+FROM {conversations} WHERE role = 'user' GROUP BY conv_id
+UNION ALL SELECT -2 - 2 * conv_id, min(text), CAST(NULL AS STRING), 'Server error 503',
+  CAST(length(min(text)) AS DOUBLE) / 8192, CAST(0 AS DOUBLE)
+FROM {conversations} WHERE role = 'user' GROUP BY conv_id
 """
 
 

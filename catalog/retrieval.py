@@ -165,6 +165,16 @@ def vocabulary(spark, folder):
     return tfidf.vocabulary(tfidf.term_counts(documents(spark, folder)))
 
 
+@query(
+    "vocabulary_capped",
+    f"""WITH {S.TFIDF_INDEX} SELECT term, CAST(tf AS BIGINT) AS tf, df FROM vocab
+ORDER BY vocab.tf DESC, term LIMIT 5000""",
+)
+def vocabulary_capped(spark, folder):
+    """With the cap that a caller may ask for."""
+    return tfidf.vocabulary(tfidf.term_counts(documents(spark, folder)), 5000)
+
+
 @query(
     "tfidf_weights",
     f"WITH {S.TFIDF_INDEX} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",

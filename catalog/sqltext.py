@@ -100,9 +100,8 @@ def detected(source: str, text: str) -> str:
 lang_counts AS (SELECT language, word, count(*) AS n FROM
   (SELECT lang AS language, {words('text')} AS word FROM documents WHERE lang IS NOT NULL) GROUP BY ALL),
 lang_totals AS (SELECT language, sum(n) AS total FROM lang_counts GROUP BY language),
-lang_profile AS (SELECT language, word, round(ln(n / total / 1e-6), 6) AS weight FROM
-  (SELECT *, row_number() OVER (PARTITION BY language ORDER BY n DESC, word) AS place FROM lang_counts)
-  JOIN lang_totals USING (language) WHERE place <= 1000 AND n / total > 1e-6),
+lang_profile AS (SELECT language, word, round(ln(1 + n / total / 1e-6), 6) AS weight
+  FROM lang_counts JOIN lang_totals USING (language)),
 lang_scores AS (SELECT doc_id, language, round(sum(weight), 6) AS score FROM
   (SELECT doc_id, {words(text)} AS word FROM {source} WHERE {valid(text)})
   JOIN lang_profile USING (word) GROUP BY ALL),
@@ -124,8 +123,7 @@ TFIDF_INDEX = f"""
 tf AS (SELECT doc_id, term, count(*) AS tf FROM
   (SELECT doc_id, {terms('text')} AS term FROM documents WHERE {valid('text')})
   WHERE term NOT IN ({STOP_LIST}) GROUP BY ALL),
-vocab AS (SELECT term, sum(tf) AS tf, count(*) AS df FROM tf GROUP BY term
-  ORDER BY sum(tf) DESC, term LIMIT 50000),
+vocab AS (SELECT term, sum(tf) AS tf, count(*) AS df FROM tf GROUP BY term),
 idf AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM vocab,
   (SELECT count(*) AS n FROM documents WHERE {valid('text')})),
 weights AS (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM
@@ -140,10 +138,10 @@ q_tf AS (SELECT query_id, term, count(*) AS tf FROM
   WHERE term NOT IN ({STOP_LIST}) GROUP BY ALL),
 q_weights AS (SELECT query_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY query_id)) AS weight
   FROM (SELECT query_id, term, tf * idf AS raw FROM q_tf JOIN idf USING (term))),
-scored AS (SELECT query_id, doc_id, round(sum(q.weight * w.weight), 6) AS score
-  FROM q_weights q JOIN weights w USING (term) GROUP BY ALL),
+scored AS (SELECT query_id, doc_id, round(dot, 6) AS score FROM (SELECT query_id, doc_id,
+  sum(q.weight * w.weight) AS dot FROM q_weights q JOIN weights w USING (term) GROUP BY ALL) WHERE dot > 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
-  FROM scored WHERE score > 0),
+  FROM scored),
 hits AS (SELECT query_id, rank, r.doc_id, score, d.text FROM ranked r
   JOIN documents d USING (doc_id) WHERE rank <= {k})"""
 

@@ -1,9 +1,10 @@
 """Default English stop words."""
 
+import re
+
 # The list that Spark ML loads for English, in its order. Another
 # list can be passed wherever stop words are used.
-ENGLISH_STOP_WORDS = tuple(
-    """
+_LISTED = """
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
 she her hers herself it its itself they them their theirs themselves what which who whom
 this that these those am is are was were be been being have has had having do does did doing
@@ -15,5 +16,6 @@ he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she'
 they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
 doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
 how's let's ought that's there's what's when's where's who's why's would
-""".split()
-)
+"""
+# As terms: what an apostrophe cuts apart is listed by its parts.
+ENGLISH_STOP_WORDS = tuple(dict.fromkeys(re.findall(r"\w{2,}", _LISTED)))

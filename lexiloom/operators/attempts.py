@@ -74,13 +74,15 @@ def resolve_requests(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> D
 
     Takes classified attempts. Each of the few attempt numbers is its own
     aggregate, so a request with many captured rows is merged before the shuffle.
+    Attempts beyond ``max_attempts`` decide nothing, but their request stays: one
+    that has no others failed after 0 attempts, with no error known.
     """
     fields = F.struct("outcome", "content", "error", "wait_s")
     slots = [
         F.max(F.when(F.col("attempt") == n, fields)).alias(f"a{n}")
         for n in range(1, max_attempts + 1)
     ]
-    wide = attempts.filter(F.col("attempt").between(1, max_attempts)).groupBy("request_id").agg(*slots)
+    wide = attempts.groupBy("request_id").agg(*slots)
     seen = [F.col(f"a{n}") for n in range(1, max_attempts + 1)]
     ends = [slot["outcome"] != RETRYABLE for slot in seen]
     decided = F.coalesce(
@@ -102,7 +104,7 @@ def resolve_requests(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> D
         "decided.attempt",
         sum((F.when(slot.isNotNull(), 1).otherwise(0) for slot in seen), F.lit(0)),
     )
-    last_error = F.coalesce(*[slot["error"] for slot in reversed(seen)])
+    last_error = F.coalesce(*[slot["error"] for slot in reversed(seen)], F.lit("unknown"))
     failure = F.concat(
         F.lit("Failed after "), tried.cast("string"), F.lit(" attempts. Last error: "), last_error
     )

@@ -1,7 +1,6 @@
 """Language detection against a word profile learnt from labelled text.
 
-A profile holds the most frequent words per language with a log weight over a
-common floor. A text scores the sum of the weights of its words; the best
+A profile holds the words of each language with a log weight over a common floor. A text scores the sum of the weights of its words; the best
 language wins, equal scores go to the first name, and a text with no profiled
 word is ``unknown``.
 """
@@ -22,8 +21,9 @@ from lexiloom.plans.sizing import BROADCAST_ROWS
 # Fixed value: what invalid or undecidable text is labelled.
 UNKNOWN = "unknown"
 WORD = r"[\p{L}]+"
-PROFILE_WORDS = 1000
 FLOOR = 1e-6
+# Words x languages that a task may hold as numbers.
+PROFILE_CELLS = 4_000_000
 DIGITS = 6
 
 
@@ -36,11 +36,11 @@ def language_profile(
     labelled: DataFrame,
     text_col: str = "text",
     language_col: str = "lang",
-    words_per_language: int = PROFILE_WORDS,
+    words_per_language: int | None = None,
 ) -> DataFrame:
-    """``(language, word, weight)`` for the top words of each language; ties by word.
+    """``(language, word, weight)`` for the words of each language.
 
-    Its size is bounded by languages x ``words_per_language``.
+    ``words_per_language`` keeps the most frequent ones; ties by word.
     """
     known = labelled.filter(F.col(language_col).isNotNull())
     counts = (
@@ -49,15 +49,15 @@ def language_profile(
         .agg(F.count("*").alias("n"))
     )
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
-    best = Window.partitionBy("language").orderBy(F.desc("n"), "word")
-    top = counts.withColumn("place", F.row_number().over(best)).filter(
-        F.col("place") <= words_per_language
-    )
-    share = F.col("n") / F.col("total")
-    return (
-        top.join(totals, "language")
-        .filter(share > FLOOR)
-        .select("language", "word", F.round(F.log(share / FLOOR), DIGITS).alias("weight"))
+    top = counts
+    if words_per_language is not None:
+        best = Window.partitionBy("language").orderBy(F.desc("n"), "word")
+        top = counts.withColumn("place", F.row_number().over(best)).filter(
+            F.col("place") <= words_per_language
+        )
+    weight = F.log(1 + F.col("n") / F.col("total") / FLOOR)
+    return top.join(totals, "language").select(
+        "language", "word", F.round(weight, DIGITS).alias("weight")
     )
 
 
@@ -65,19 +65,19 @@ def with_language(
     df: DataFrame,
     profile: DataFrame,
     text_col: str = "clean_text",
-    id_col: str = "doc_id",
     profile_bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``df`` plus ``language``.
+    """``df`` plus ``language``, which depends on the text alone.
 
-    A profile within the bound goes to every task and rows are scored where they
-    are, without a shuffle. A larger one is joined word by word; that way needs
-    an ``id_col`` that identifies rows.
+    A profile within the bound of rows and of words x languages goes to every
+    task and rows are scored where they are, without a shuffle. A larger one is
+    joined word by word with the distinct texts; both ways give the same rows.
     """
     held = profile.limit(profile_bound + 1).select("language", "word", "weight").toArrow()
-    if held.num_rows <= profile_bound:
+    cells = len(pc.unique(held.column("word"))) * len(pc.unique(held.column("language")))
+    if held.num_rows <= profile_bound and cells <= PROFILE_CELLS:
         return df.withColumn("language", _classifier(df.sparkSession, held)(words(F.col(text_col))))
-    return _joined(df, profile, text_col, id_col)
+    return _joined(df, profile, text_col)
 
 
 def _classifier(spark: SparkSession, profile: pa.Table):
@@ -111,19 +111,22 @@ def _classifier(spark: SparkSession, profile: pa.Table):
     return classify
 
 
-def _joined(df: DataFrame, profile: DataFrame, text_col: str, id_col: str) -> DataFrame:
+def _joined(df: DataFrame, profile: DataFrame, text_col: str) -> DataFrame:
+    digest = F.unhex(F.sha2(F.col(text_col), 256))
+    texts = df.select(digest.alias("__text"), text_col).dropDuplicates(["__text"])
     scores = (
-        explode_once(df, [id_col], words(F.col(text_col)), "word")
+        explode_once(texts, ["__text"], words(F.col(text_col)), "word")
         .join(profile, "word")
-        .groupBy(id_col, "language")
+        .groupBy("__text", "language")
         .agg(F.round(F.sum("weight"), DIGITS).alias("score"))
         .filter(F.col("score") > 0)
     )
-    best = scores.groupBy(id_col).agg(
+    best = scores.groupBy("__text").agg(
         F.min(F.struct((-F.col("score")).alias("cost"), "language")).alias("best")
     )
     return (
-        df.join(best, id_col, "left")
+        df.withColumn("__text", digest)
+        .join(best, "__text", "left")
         .withColumn("language", F.coalesce("best.language", F.lit(UNKNOWN)))
-        .drop("best")
+        .drop("best", "__text")
     )

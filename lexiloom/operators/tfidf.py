@@ -1,8 +1,9 @@
 """TF-IDF index and retrieval.
 
 Documents are hashed on their id once; term counts, norms and scores of a
-document are then computed where it lies. The vocabulary is bounded by its cap
-and is broadcast. A bounded set of queries is broadcast too, so scores are
+document are then computed where it lies. The vocabulary holds every term unless
+a cap is asked for; only a cap within the broadcast bound makes it a broadcast,
+else the join is chosen at run time from its size. A bounded set of queries is broadcast too, so scores are
 complete before the only shuffle of the search, which carries the best ``k``
 candidates per query and partition. Larger query sets use a shuffle join in
 which each term is spread over as many salts as its document frequency asks for.
@@ -21,8 +22,7 @@ from lexiloom.functions.text import is_valid_text
 from lexiloom.functions.tokens import terms
 from lexiloom.plans.sizing import BROADCAST_ROWS, chars_within
 
-# Vocabulary cap, default result count, and score precision.
-MAX_TERMS = 50_000
+# Default result count and score precision.
 TOP_K = 4
 SCORE_DIGITS = 6
 # Postings of one term that one task should meet in the salted join.
@@ -53,14 +53,15 @@ def term_counts(
     return found.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
-def vocabulary(counts: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
-    """Most frequent terms by occurrences, with document frequency; ties by term."""
-    return (
-        counts.groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
-        .orderBy(F.desc("tf"), "term")
-        .limit(max_terms)
-    )
+def vocabulary(counts: DataFrame, max_terms: int | None = None) -> DataFrame:
+    """Every term with its occurrences and document frequency.
+
+    ``max_terms`` keeps the most frequent ones by occurrences; ties by term.
+    """
+    found = counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    if max_terms is None:
+        return found
+    return found.orderBy(F.desc("tf"), "term").limit(max_terms)
 
 
 def inverse_frequency(df: Column, n: Column) -> Column:
@@ -75,11 +76,11 @@ def with_idf(vocab: DataFrame, docs: DataFrame, text_col: str = "text") -> DataF
 
 
 def weigh(
-    counts: DataFrame, vocab_idf: DataFrame, id_col: str = "doc_id", max_terms: int = MAX_TERMS
+    counts: DataFrame, vocab_idf: DataFrame, id_col: str = "doc_id", max_terms: int | None = None
 ) -> DataFrame:
     """``(id, term, weight)`` with unit-length rows; terms out of the vocabulary drop out."""
     lookup = vocab_idf.select("term", "idf")
-    if max_terms <= BROADCAST_ROWS:
+    if max_terms is not None and max_terms <= BROADCAST_ROWS:
         lookup = F.broadcast(lookup)
     raw = counts.join(lookup, "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
@@ -95,7 +96,7 @@ class TfidfIndex:
         postings: DataFrame,
         id_col: str = "doc_id",
         stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
-        max_terms: int = MAX_TERMS,
+        max_terms: int | None = None,
         placed: bool = False,
     ):
         self.vocab = vocab
@@ -113,7 +114,7 @@ class TfidfIndex:
         id_col: str = "doc_id",
         text_col: str = "text",
         stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
-        max_terms: int = MAX_TERMS,
+        max_terms: int | None = None,
     ) -> TfidfIndex:
         """Plan an index; nothing runs before a search or a write."""
         counts = term_counts(docs, id_col, text_col, stop_words)
@@ -145,7 +146,7 @@ class TfidfIndex:
         path: str,
         id_col: str = "doc_id",
         stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
-        max_terms: int = MAX_TERMS,
+        max_terms: int | None = None,
     ) -> TfidfIndex:
         """Open a stored index; the stop words and cap must be those it was built with."""
         return cls(
@@ -185,17 +186,18 @@ class TfidfIndex:
             scored = self._score_salted(asked, query_id)
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
         return (
-            scored.filter(F.col("score") > 0)
-            .withColumn("rank", F.row_number().over(best))
+            scored.withColumn("rank", F.row_number().over(best))
             .filter(F.col("rank") <= k)
             .select("query_id", "rank", "doc_id", "score")
         )
 
     def _summed(self, pairs: DataFrame, query_id: str) -> DataFrame:
         dot = F.sum(F.col("query_weight") * F.col("weight"))
-        return pairs.groupBy(
+        summed = pairs.groupBy(
             F.col(query_id).alias("query_id"), F.col(self.id_col).alias("doc_id")
-        ).agg(F.round(dot, SCORE_DIGITS).alias("score"))
+        ).agg(dot.alias("dot"))
+        score = F.round("dot", SCORE_DIGITS).alias("score")
+        return summed.filter("dot > 0").select("query_id", "doc_id", score)
 
     def _score_in_place(self, asked: DataFrame, query_id: str) -> DataFrame:
         postings = self.postings
@@ -212,7 +214,7 @@ class TfidfIndex:
 
     def _score_salted(self, asked: DataFrame, query_id: str) -> DataFrame:
         salts = F.ceil(F.col("df") / POSTINGS_PER_SALT).cast("int")
-        spread = F.broadcast(self.vocab.select("term", salts.alias("salts")))
+        spread = self.vocab.select("term", salts.alias("salts"))
         left = self.postings.join(spread, "term").withColumn(
             "salt", F.pmod(F.xxhash64(self.id_col), F.col("salts")).cast("int")
         )

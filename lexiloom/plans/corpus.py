@@ -15,12 +15,11 @@ def prepare_corpus(
     raw: DataFrame,
     profile: DataFrame,
     text_col: str = "text",
-    id_col: str = "doc_id",
     drop_empty: bool = False,
 ) -> DataFrame:
     """Clean text, lengths and language of every document."""
     processed = process_documents(raw, text_col, drop_empty)
-    return with_language(processed, profile, "clean_text", id_col)
+    return with_language(processed, profile, "clean_text")
 
 
 def publish(processed: DataFrame, path: str) -> DataFrame:

@@ -46,9 +46,9 @@ def test_context_is_the_longest_fitting_prefix(spark, sizes, budget):
 
 def test_messages(spark):
     df = spark.createDataFrame([("Why 100%?", "[1] because")], "q STRING, c STRING")
-    got = df.select(messages(F.col("q"), F.col("c")).alias("m")).first().m
+    got = df.select(messages(F.col("q"), F.col("c"), "Be brief.").alias("m")).first().m
     assert [m.role for m in got] == ["system", "user"]
-    assert ABSTAIN_SENTENCE in got[0].content
+    assert got[0].content == "Be brief."
     assert got[1].content.startswith("Context:\n[1] because\n\nQuestion: Why 100%?\n\n")
 
 
@@ -136,6 +136,21 @@ def test_request_resolution(classified):
     assert "timed out" in got[6].error and got[6].outcome == "failed"
     assert (got[7].outcome, got[7].attempts, got[7].wait_s) == ("permanent", 3, 6.0)
     assert got[8].outcome == "failed" and got[8].content is None
+    assert set(got) == {row[0] for row in ATTEMPTS}
+
+
+def test_request_with_late_attempts_only(classified):
+    late = resolve_requests(classified.filter("request_id = 8 AND attempt = 4")).collect()
+    assert [(r.request_id, r.outcome, r.attempts, r.wait_s) for r in late] == [(8, "failed", 0, 0.0)]
+    assert late[0].error == "Failed after 0 attempts. Last error: unknown"
+
+
+def test_percentiles_are_exact_in_large_groups(spark):
+    log = spark.range(30_001).selectExpr(
+        "'answered' AS status", "true AS grounded", "id / 10000D AS total_latency_s", "1L AS num_chunks_retrieved"
+    )
+    got = query_log_metrics(log).first()
+    assert (got.p50_latency_s, got.p95_latency_s) == (1.5, 2.85)
 
 
 QUESTIONS = [
@@ -197,7 +212,7 @@ def test_gate_is_strict(results):
     questions, found, _ = results
     got = {r.query_id: r.out_of_domain for r in gate(questions, summarize_hits(found)).collect()}
     assert got == {1: False, 2: True, 3: True, 4: False, 5: False, 6: False, 7: False}
-    assert {r.query_id for r in build_prompts(questions, found).collect()} == {1, 4, 5, 6, 7}
+    assert {r.query_id for r in build_prompts(questions, found, "Be brief.").collect()} == {1, 4, 5, 6, 7}
 
 
 def test_log_has_one_row_per_question(spark, results, tmp_path):

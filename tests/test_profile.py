@@ -104,6 +104,17 @@ def test_undecidable_language(spark):
     assert [r.language for r in nothing_known] == ["unknown"]
 
 
+def test_language_depends_on_the_text_alone(spark):
+    train = spark.createDataFrame([("the cat", "en"), ("le chat", "fr")], "text STRING, lang STRING")
+    rows = [(1, "the dog"), (1, "1234"), (1, "le chat"), (None, "le chat")]
+    df = spark.createDataFrame(rows, "doc_id LONG, clean_text STRING")
+    for bound in (10, 0):
+        got = with_language(df, language_profile(train), profile_bound=bound).collect()
+        assert sorted((r.clean_text, r.language) for r in got) == [
+            ("1234", "unknown"), ("le chat", "fr"), ("le chat", "fr"), ("the dog", "en")
+        ]
+
+
 def test_language_needs_no_shuffle(spark):
     train = spark.createDataFrame([("the cat", "en")], "text STRING, lang STRING")
     df = spark.range(5).selectExpr("id AS doc_id", "'the' AS clean_text")

@@ -82,6 +82,8 @@ def test_last_write_in_a_batch_wins(spark):
     new = spark.createDataFrame([("k", "first", 1), ("k", "last", 2)], old.schema)
     got = {r.chunk_id: r.v for r in upsert(old, new, order=[F.desc("n")]).collect()}
     assert got == {"k": "last", "stays": "old"}
+    got = [(r.chunk_id, r.v) for r in upsert(old, new).collect()]
+    assert sorted(got) == [("k", "last"), ("stays", "old")]
 
 
 def test_prepare_and_ingest(spark, tmp_path):
