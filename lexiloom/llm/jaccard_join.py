@@ -12,8 +12,8 @@ Layout for large data:
 * Sets of equal content are one class; only classes are compared.
 * The first order comes from the number of documents of every token. It only
   decides how much work there is: any order gives the same result.
-* Texts are never shuffled: sets are made anew where they are needed, and a bit
-  table of fixed size keeps other documents out.
+* Texts are never shuffled: sets are made anew where they are needed, from one
+  document of a class, and a bit table of bounded size keeps other documents out.
 * No posting list emits all its pairs at first. In each round every component
   in a list meets one leader of that list, so pairs grow with the postings;
   links merge components, and lists with one component left are done. Once a
@@ -162,19 +162,29 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each) -> DataFrame:
-    """Arrow pass over (id, text): ``each(ids, sets)`` gives columns for a chunk of documents."""
+def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, wanted=None) -> DataFrame:
+    """Arrow pass over (id, text): ``each(ids, sets)`` gives columns for a chunk of documents.
+
+    ``wanted`` is a broadcast membership table of id hashes; documents out of it
+    are left alone, but for those without an id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
         for batch in batches:
+            if wanted is not None:
+                named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(_held(wanted.value, batch.column(2).to_numpy()) | ~named))
             ids, texts = batch.column(0), as_bytes(batch.column(1))
             for a, b in chunks(texts, 1 << 20):
                 out = each(ids.slice(a, b - a), Sets(texts[a:b]), state)
                 if out is not None:
                     yield out
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    columns = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
+    if wanted is not None:
+        columns.append(F.xxhash64(columns[0]).alias("h"))
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def _members(docs, id_col, text_col) -> DataFrame:
@@ -262,9 +272,12 @@ def _postings(docs, id_col, text_col, order: Order, percent: int) -> DataFrame:
     return _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint, place bigint", postings).distinct()
 
 
-def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
-    """(key, tokens) of the classes in ``needed``, made from one document each."""
-    table = docs.sparkSession.sparkContext.broadcast(_bits(needed.select(_first_half("key").alias("h"))))
+def _sets(docs, id_col, text_col, members: DataFrame, needed: DataFrame) -> DataFrame:
+    """(key, tokens) of the classes in ``needed``, made from the document of least id in each."""
+    context = docs.sparkSession.sparkContext
+    table = context.broadcast(_bits(needed.select(_first_half("key").alias("h"))))
+    firsts = members.join(needed, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+    wanted = context.broadcast(_bits(firsts.filter("id is not null").select(F.xxhash64("id").alias("h"))))
 
     def each(ids, sets, state):
         keys = sets.keys()
@@ -283,14 +296,14 @@ def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
             names=["key", "tokens"],
         )
 
-    made = _mapped(docs, id_col, text_col, "key binary, tokens binary", each)
+    made = _mapped(docs, id_col, text_col, "key binary, tokens binary", each, wanted)
     return made.dropDuplicates(["key"])
 
 
-def _verified(docs, id_col, text_col, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs, id_col, text_col, members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link."""
     both = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(docs, id_col, text_col, both)
+    sets = _sets(docs, id_col, text_col, members, both)
 
     @F.arrow_udf("boolean")
     def test(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -407,11 +420,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         last = seed == ROUNDS
         pairs = stored(_all_pairs(left, percent) if last else _met(left, seed, percent), "pairs")
-        found = stored(_verified(docs, id_col, text_col, pairs, percent), "links")
+        found = stored(_verified(docs, id_col, text_col, members, pairs, percent), "links")
         fresh = not found.isEmpty()
         if not fresh and not last:
             pairs = stored(_all_pairs(left, percent), "pairs")
-            found = stored(_verified(docs, id_col, text_col, pairs, percent), "links")
+            found = stored(_verified(docs, id_col, text_col, members, pairs, percent), "links")
             last, fresh = True, not found.isEmpty()
         if fresh:
             links = found if links is None else links.unionAll(found)
