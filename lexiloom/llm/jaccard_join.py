@@ -322,11 +322,11 @@ def connected(edges: DataFrame) -> DataFrame:
     """(key, component) for the nodes of undirected ``edges`` (a, b); a component is its least node.
 
     Alternating star contraction: each round hangs neighbours below the least
-    one around, and the edges are written out; it ends when they are stars.
+    one around, and the edges are written out; it ends once they are stars: no
+    node hangs below two others, and none that has nodes below it hangs itself.
     """
     spark = edges.sparkSession
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    seen = None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -344,10 +344,11 @@ def connected(edges: DataFrame) -> DataFrame:
         path = scratch_path(spark, "jaccard-stars")
         small.write.parquet(path)
         edges = spark.read.parquet(path)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        ends = F.array(F.struct("a", F.lit(1).alias("up")), F.struct(F.col("b").alias("a"), F.lit(0).alias("up")))
+        ends = edges.select(F.explode(ends).alias("n"))
+        nodes = ends.groupBy("n.a").agg(F.sum("n.up").alias("up"), F.min("n.up").alias("low"))
+        if nodes.filter("up > 1 or (up = 1 and low = 0)").isEmpty():
             return edges.select(F.col("a").alias("key"), F.col("b").alias("component"))
-        seen = state
 
 
 def _labelled(frame: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -413,7 +414,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = stored(_members(docs, id_col, text_col), "members")
     order = _order(docs, id_col, text_col)
     postings = stored(_postings(docs, id_col, text_col, order, percent), "postings")
-    links, labels = None, None
+    labels = None
     for seed in range(ROUNDS + 1):
         left = stored(_mixed(_labelled(postings.select("token", "key", "n", "place"), labels)), "mixed")
         if left.isEmpty():
@@ -427,8 +428,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             found = stored(_verified(docs, id_col, text_col, members, pairs, percent), "links")
             last, fresh = True, not found.isEmpty()
         if fresh:
-            links = found if links is None else links.unionAll(found)
-            labels = connected(links)
+            # Stars stand for the links of earlier rounds.
+            labels = connected(found if labels is None else found.unionAll(labels.toDF("a", "b")))
         if last:
             break
         postings = left
