@@ -16,9 +16,9 @@ Layout for large data:
   document of a class, and a bit table of bounded size keeps other documents out.
 * No posting list emits all its pairs at first. In each round every component
   in a list meets one leader of that list, so pairs grow with the postings;
-  links merge components, and lists with one component left are done. Once a
-  round finds nothing new, all pairs of different components that still share a
-  list are compared, so no link is lost.
+  links merge components, and lists with one component left are done. Once
+  pairs of different components are few for the postings left, or a round finds
+  nothing new, all of them are compared, so no link is lost.
 * Rounds are written to the shared folder, which cuts lineage.
 
 Cases: null, empty and blank texts have no tokens, link with nothing and are
@@ -48,6 +48,8 @@ FURTHER_ORDERS = 2
 FIELDS = 1 << 20
 #: Rounds of one leader per list, at most; pairs left over are all compared.
 ROUNDS = 3
+#: Pairs of different components for each posting left that are compared without a further round.
+PAIRS_PER_POSTING = 4
 #: Bits of a membership table per entry, and at most.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 28
 
@@ -187,6 +189,13 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, want
     return docs.select(*columns).mapInArrow(run, schema)
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder and read again."""
+    path = scratch_path(frame.sparkSession, f"jaccard-{name}")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def _members(docs, id_col, text_col) -> DataFrame:
     def each(ids, sets, _):
         return pa.RecordBatch.from_arrays(
@@ -203,33 +212,35 @@ def _order(docs, id_col, text_col) -> Order:
     def each(ids, sets, _):
         return pa.RecordBatch.from_arrays([pa.array(sets.tokens.view(np.int64))], names=["token"])
 
-    spark = docs.sparkSession
-    path = scratch_path(spark, "jaccard-tokens")
     counts = _mapped(docs, id_col, text_col, "token bigint", each).groupBy("token").agg(F.count("*").alias("n"))
-    counts.filter("n > 1").write.parquet(path)
-    shared = spark.read.parquet(path)
+    shared = _stored(counts.filter("n > 1"), "tokens")
     field = F.expr(f"token & {FIELDS - 1}L").alias("at")
     rows = shared.groupBy(field).agg(F.max("n").alias("n")).toArrow()  # FIELDS rows at most
     steps = np.zeros(FIELDS, dtype=np.uint8)
     steps[rows.column("at").to_numpy()] = np.log2(rows.column("n").to_numpy()).astype(np.uint8)
-    return Order(_bits(shared.select(F.col("token").alias("h"))), steps)
+    return Order(_bits(shared, "token")[0], steps)
 
 
-def _bits(hashes: DataFrame, column: str = "h") -> np.ndarray:
-    """Membership table of 64-bit hashes, two bits each, built by the executors."""
+def _bits(hashes: DataFrame, *columns: str) -> np.ndarray:
+    """Membership table of each column of 64-bit hashes, two bits a hash, built by the executors."""
     n = hashes.count()
     size = 1 << max(16, min(MAX_BITS, n * BITS_PER_ENTRY).bit_length())
-    h = F.col(column)
-    spots = F.explode(F.array(h, F.shiftright(h, 29))).alias("s")
-    spots = hashes.select(spots).select(F.expr(f"s & {size - 1}L").alias("s"))
+    spots = [
+        F.struct(F.lit(k).alias("table"), F.expr(f"{spot} & {size - 1}L").alias("s"))
+        for k, column in enumerate(columns)
+        for spot in (column, f"shiftright({column}, 29)")
+    ]
     rows = (
-        spots.groupBy(F.shiftright("s", 6).alias("word"))
+        hashes.select(F.explode(F.array(*spots)).alias("at"))
+        .select("at.*")
+        .filter("s is not null")
+        .groupBy("table", F.shiftright("s", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
         .toArrow()
     )
-    table = np.zeros(size // 64, dtype=np.int64)
-    table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    return table.view(np.uint64)
+    tables = np.zeros((len(columns), size // 64), dtype=np.int64)
+    tables[rows.column("table").to_numpy(), rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return tables.view(np.uint64)
 
 
 def _held(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -272,12 +283,12 @@ def _postings(docs, id_col, text_col, order: Order, percent: int) -> DataFrame:
     return _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint, place bigint", postings).distinct()
 
 
-def _sets(docs, id_col, text_col, members: DataFrame, needed: DataFrame) -> DataFrame:
-    """(key, tokens) of the classes in ``needed``, made from the document of least id in each."""
+def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
+    """(key, tokens) of the classes in ``needed`` (key, id), made from the document of that id in each."""
     context = docs.sparkSession.sparkContext
-    table = context.broadcast(_bits(needed.select(_first_half("key").alias("h"))))
-    firsts = members.join(needed, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
-    wanted = context.broadcast(_bits(firsts.filter("id is not null").select(F.xxhash64("id").alias("h"))))
+    named = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
+    of_keys, of_ids = _bits(needed.select(_first_half("key").alias("k"), named.alias("h")), "k", "h")
+    table, wanted = context.broadcast(of_keys), context.broadcast(of_ids)
 
     def each(ids, sets, state):
         keys = sets.keys()
@@ -300,10 +311,10 @@ def _sets(docs, id_col, text_col, members: DataFrame, needed: DataFrame) -> Data
     return made.dropDuplicates(["key"])
 
 
-def _verified(docs, id_col, text_col, members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link."""
     both = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(docs, id_col, text_col, members, both)
+    sets = _sets(docs, id_col, text_col, _stored(both.join(classes, "key"), "needed"))
 
     @F.arrow_udf("boolean")
     def test(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -325,14 +336,13 @@ def connected(edges: DataFrame) -> DataFrame:
     one around, and the edges are written out; it ends once they are stars: no
     node hangs below two others, and none that has nodes below it hangs itself.
     """
-    spark = edges.sparkSession
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
         # Large star: larger neighbours move to the least of the neighbourhood.
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: a node and its smaller neighbours move to the least of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -341,9 +351,7 @@ def connected(edges: DataFrame) -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-        path = scratch_path(spark, "jaccard-stars")
-        small.write.parquet(path)
-        edges = spark.read.parquet(path)
+        edges = _stored(small, "stars")
         ends = F.array(F.struct("a", F.lit(1).alias("up")), F.struct(F.col("b").alias("a"), F.lit(0).alias("up")))
         ends = edges.select(F.explode(ends).alias("n"))
         nodes = ends.groupBy("n.a").agg(F.sum("n.up").alias("up"), F.min("n.up").alias("low"))
@@ -369,6 +377,15 @@ def _mixed(postings: DataFrame) -> DataFrame:
     return postings.join(several, "token", "left_semi")
 
 
+def _left(postings: DataFrame) -> tuple[int, int]:
+    """Number of postings, and of pairs of different components within lists."""
+    own = postings.groupBy("token", "component").agg(F.count("*").alias("c"))
+    lists = own.groupBy("token").agg(F.sum("c").alias("n"), F.sum(F.col("c").cast("double") * F.col("c")).alias("same"))
+    pairs = (F.col("n").cast("double") * F.col("n") - F.col("same")) / 2
+    row = lists.agg(F.sum("n").alias("n"), F.sum(pairs).alias("pairs")).first()
+    return row.n or 0, row.pairs or 0
+
+
 def _met(postings: DataFrame, seed: int, percent: int) -> DataFrame:
     """One document of each component in a list with the list's leader."""
     # In the first round a document's place is the same in all lists, so alike documents have one leader.
@@ -404,28 +421,27 @@ def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``(id_col, n_shingles, component_id)``: least id among documents reachable by links."""
-    spark = docs.sparkSession
+    members = _stored(_members(docs, id_col, text_col), "members")
+    # Classes without tokens link with nothing, not even with each other.
+    full = members.filter("n > 0")
+    classes = _stored(full.groupBy("key").agg(F.min("id").alias("id")), "classes")
+    order = _order(docs, id_col, text_col)
+    postings = _stored(_postings(docs, id_col, text_col, order, percent), "postings")
 
-    def stored(frame: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, f"jaccard-{name}")
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
+    def links(pairs: DataFrame) -> DataFrame:
+        return _stored(_verified(docs, id_col, text_col, classes, _stored(pairs, "pairs"), percent), "links")
 
-    members = stored(_members(docs, id_col, text_col), "members")
-    order = _order(docs, id_col, text_col)
-    postings = stored(_postings(docs, id_col, text_col, order, percent), "postings")
     labels = None
     for seed in range(ROUNDS + 1):
-        left = stored(_mixed(_labelled(postings.select("token", "key", "n", "place"), labels)), "mixed")
-        if left.isEmpty():
+        left = _stored(_mixed(_labelled(postings.select("token", "key", "n", "place"), labels)), "mixed")
+        n, pairs = _left(left)
+        if not n:
             break
-        last = seed == ROUNDS
-        pairs = stored(_all_pairs(left, percent) if last else _met(left, seed, percent), "pairs")
-        found = stored(_verified(docs, id_col, text_col, members, pairs, percent), "links")
+        last = seed == ROUNDS or pairs <= PAIRS_PER_POSTING * n
+        found = links(_all_pairs(left, percent) if last else _met(left, seed, percent))
         fresh = not found.isEmpty()
         if not fresh and not last:
-            pairs = stored(_all_pairs(left, percent), "pairs")
-            found = stored(_verified(docs, id_col, text_col, members, pairs, percent), "links")
+            found = links(_all_pairs(left, percent))
             last, fresh = True, not found.isEmpty()
         if fresh:
             # Stars stand for the links of earlier rounds.
@@ -433,9 +449,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if last:
             break
         postings = left
-    # Classes without tokens link with nothing, not even with each other.
-    full = members.filter("n > 0")
-    classes = _labelled(full.groupBy("key").agg(F.min("id").alias("id")), labels)
+    classes = _labelled(classes, labels)
     least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
     named = classes.join(least, "component").select("key", "component_id")
     out = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"]

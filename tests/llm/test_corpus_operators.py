@@ -66,6 +66,12 @@ def test_components_equal_brute_force(spark, near_copies):
     assert jaccard_join.components(docs.limit(0)).count() == 0
 
 
+def test_rounds_without_the_pair_count_find_the_same(spark, near_copies, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRS_PER_POSTING", -1)
+    docs = spark.createDataFrame(near_copies, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_join.components(docs).collect()), key=str) == brute_components(near_copies)
+
+
 def test_all_pairs_alone_find_the_same(spark, near_copies, monkeypatch):
     monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
     docs = spark.createDataFrame(near_copies, "doc_id long, text string")
