@@ -13,6 +13,11 @@ from pyspark.sql import SparkSession
 
 def local_session(name: str = "lexiloom", cpus: int | str = "*", memory: str = "8g") -> SparkSession:
     """Local session with adaptive execution, UTC timestamps and small shuffles."""
+    # Python workers import the package by name, whatever folder the session was started in.
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([home, *paths])
     partitions = os.cpu_count() if cpus == "*" else int(cpus)
     return (
         SparkSession.builder.master(f"local[{cpus}]")
