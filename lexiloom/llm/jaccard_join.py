@@ -19,6 +19,8 @@ Layout for large data:
   links merge components, and lists with one component left are done. Once
   pairs of different components are few for the postings left, or a round finds
   nothing new, all of them are compared, so no link is lost.
+* Postings carry 128 parities of their set. Sets differ in at least as many
+  members as parities, so pairs too far apart go before sets are made.
 * Rounds are written to the shared folder, which cuts lineage.
 
 Cases: null, empty and blank texts have no tokens, link with nothing and are
@@ -91,6 +93,16 @@ class Sets:
         both = np.stack(halves, axis=1).tobytes() if len(self) else b""
         return [both[16 * i : 16 * i + 16] for i in range(len(self))]
 
+    def parities(self) -> np.ndarray:
+        """Two words of 64 bits for each set; a bit is the parity of the members that fall on it."""
+        spots, out = mix(self.tokens ^ _ODD[0]), np.zeros((2, len(self)), dtype=np.uint64)
+        for half in range(2):
+            own = (spots >> np.uint64(6)) & np.uint64(1) == half
+            bits = np.where(own, np.uint64(1) << (spots & np.uint64(63)), np.uint64(0))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)))
+            out[half] = sums[self.edges[1:]] ^ sums[self.edges[:-1]]
+        return out.view(np.int64)
+
     def shared_firsts(self, order: Order, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Set number, token and place of the prefix tokens that other documents may have too."""
         ranks, parts = order.of(self.tokens), []
@@ -269,18 +281,19 @@ def _first_half(key: str) -> Column:
 
 
 def _postings(docs, id_col, text_col, order: Order, percent: int) -> DataFrame:
-    """(token, class, n, place) for prefix tokens that several documents may have."""
+    """(token, class, n, place, parities) for prefix tokens that several documents may have."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def postings(ids, sets, _):
         of, tokens, places = sets.shared_firsts(shared.value, percent)
         keys = pa.array(sets.keys(), pa.binary())
+        columns = [tokens.view(np.int64), sets.sizes[of], places, *sets.parities()[:, of]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(tokens.view(np.int64)), keys.take(pa.array(of)), pa.array(sets.sizes[of]), pa.array(places)],
-            names=["token", "key", "n", "place"],
+            [keys.take(pa.array(of)), *map(pa.array, columns)], names=["key", "token", "n", "place", "x", "y"]
         )
 
-    return _mapped(docs, id_col, text_col, "token bigint, key binary, n bigint, place bigint", postings).distinct()
+    schema = "key binary, token bigint, n bigint, place bigint, x bigint, y bigint"
+    return _mapped(docs, id_col, text_col, schema, postings).distinct()
 
 
 def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
@@ -312,7 +325,7 @@ def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
 
 
 def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+    """The components (a, b) of the pairs of classes that link."""
     both = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     sets = _sets(docs, id_col, text_col, _stored(both.join(classes, "key"), "needed"))
 
@@ -324,9 +337,9 @@ def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, perc
     met = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
-        .select("a", "b", test.asNondeterministic()(F.col("x"), F.col("y")).alias("ok"))
+        .select("ca", "cb", test.asNondeterministic()(F.col("x"), F.col("y")).alias("ok"))
     )
-    return met.filter("ok").select("a", "b")
+    return met.filter("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -390,10 +403,21 @@ def _met(postings: DataFrame, seed: int, percent: int) -> DataFrame:
     """One document of each component in a list with the list's leader."""
     # In the first round a document's place is the same in all lists, so alike documents have one leader.
     place = F.xxhash64(F.lit(seed), "key") if not seed else F.xxhash64(F.lit(seed), "token", "key")
-    one = postings.groupBy("token", "component").agg(F.min(F.struct(place.alias("p"), "key", "n", "place")).alias("d"))
+    one = postings.groupBy("token", "component").agg(F.min(F.struct(place.alias("p"), *_WHOLE, "place")).alias("d"))
     leader = one.groupBy("token").agg(F.min("d").alias("l"))
-    met = one.join(leader, "token").filter(_fits("d.n", "d.place", "l.n", "l.place", percent))
-    return met.select(F.col("d.key").alias("a"), F.col("l.key").alias("b")).filter("a <> b").distinct()
+    able = _fits("d.n", "d.place", "l.n", "l.place", percent) & _near("d", "l", percent)
+    met = one.join(leader, "token").filter(able)
+    return met.filter("d.key <> l.key").select(*_ends("d", "l")).distinct()
+
+
+#: What a posting tells of its class.
+_WHOLE = ("key", "component", "n", "x", "y")
+
+
+def _ends(a: str, b: str) -> list[Column]:
+    """Classes and components of a pair."""
+    names = {"a": f"{a}.key", "b": f"{b}.key", "ca": f"{a}.component", "cb": f"{b}.component"}
+    return [F.col(at).alias(name) for name, at in names.items()]
 
 
 def _fits(n: str, i: str, m: str, j: str, percent: int) -> Column:
@@ -402,6 +426,12 @@ def _fits(n: str, i: str, m: str, j: str, percent: int) -> Column:
     return (100 + percent) * most >= percent * (F.col(n) + F.col(m))
 
 
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether the parities of two sets allow a link: every one that differs stands for a member of one set."""
+    apart = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in "xy")
+    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
 def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components in a list that sizes and places allow.
 
@@ -411,12 +441,11 @@ def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
     kinds = postings.select("token", "n", "place").distinct()
     other = kinds.select("token", F.col("n").alias("m"), F.col("place").alias("j"))
     able = kinds.join(other, "token").filter(_fits("n", "place", "m", "j", percent))
-    left = postings.withColumnRenamed("key", "a").join(able, ["token", "n", "place"])
-    right = postings.select(
-        "token", F.col("key").alias("b"), F.col("n").alias("m"), F.col("place").alias("j"), F.col("component").alias("c")
-    )
-    joined = left.join(right, ["token", "m", "j"]).filter("component <> c and a < b")
-    return joined.select("a", "b").distinct()
+    whole = F.struct(*_WHOLE)
+    left = postings.select("token", "n", "place", whole.alias("l")).join(able, ["token", "n", "place"])
+    right = postings.select("token", F.col("n").alias("m"), F.col("place").alias("j"), whole.alias("r"))
+    joined = left.join(right, ["token", "m", "j"]).filter("l.component <> r.component and l.key < r.key")
+    return joined.filter(_near("l", "r", percent)).select(*_ends("l", "r")).distinct()
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -433,7 +462,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     labels = None
     for seed in range(ROUNDS + 1):
-        left = _stored(_mixed(_labelled(postings.select("token", "key", "n", "place"), labels)), "mixed")
+        left = _stored(_mixed(_labelled(postings.drop("component"), labels)), "mixed")
         n, pairs = _left(left)
         if not n:
             break
