@@ -17,6 +17,7 @@ from lexiloom.llm import (
     main_text,
     maxent_lm,
     pii,
+    product_codes,
     warc_zip,
 )
 from lexiloom.llm.common import remainder, table
@@ -139,6 +140,52 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return product_codes.compressed(table(spark, folder, "embeddings"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd's rounds written out, each part against each entry."""
+    width = f"(len(v) // {parts})"
+    steps = [
+        f"""k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT vec_id, label, q, v[q * {width} + 1 : (q + 1) * {width}] AS x FROM k, range({parts}) AS t(q)),
+ids AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT q, e, x AS c FROM p JOIN ids USING (vec_id))"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""n{r} AS MATERIALIZED (
+  SELECT vec_id, label, p.q, x, min({{'d': list_sum(list_transform(range(1, len(x) + 1),
+    lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT, 'e': e}}) AS m
+  FROM p JOIN b{r} b ON b.q = p.q GROUP BY vec_id, label, p.q, x)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""s{r} AS (
+  SELECT q, e, i, sum(x[i]) AS s, count(*) AS n
+  FROM (SELECT q, m.e AS e, x, unnest(range(1, len(x) + 1)) AS i FROM n{r}) GROUP BY q, e, i),
+b{r + 1} AS MATERIALIZED (
+  SELECT b.q, b.e, coalesce(f.c, b.c) AS c FROM b{r} b LEFT JOIN (
+    SELECT q, e, list(CAST(s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END AS BIGINT) ORDER BY i) AS c
+    FROM s{r} GROUP BY q, e) f ON f.q = b.q AND f.e = b.e)"""
+            )
+    return f"""
+WITH {", ".join(steps)},
+whole AS (
+  SELECT vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY q) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM n{rounds} GROUP BY vec_id, label),
+named AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY q, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  h AS codebooks_sha256
+FROM whole, named
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -150,6 +197,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_jaccard": op9_jaccard,
     "op10_bpe": op10_bpe,
+    "op13_codes": op13_codes,
 }
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op4_warc": OP4_SQL}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+    "op4_warc": OP4_SQL,
+    "op13_codes": _codes_sql(),
+}
