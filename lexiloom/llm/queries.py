@@ -18,6 +18,7 @@ from lexiloom.llm import (
     maxent_lm,
     pii,
     product_codes,
+    toxicity,
     warc_zip,
 )
 from lexiloom.llm.common import remainder, table
@@ -140,6 +141,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
     return product_codes.compressed(table(spark, folder, "embeddings"))
 
@@ -197,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_jaccard": op9_jaccard,
     "op10_bpe": op10_bpe,
+    "op12_toxicity": op12_toxicity,
     "op13_codes": op13_codes,
 }
 
