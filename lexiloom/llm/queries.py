@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm import (
     bpe,
+    collocations,
     decontamination,
     host_rules,
     jaccard_join,
@@ -141,6 +142,42 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM w, range(1, 4) AS a(k), unnest(range(1, len(w) - k + 2)) AS b(i) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, k, phrase, a, cut, array_to_string(p[1 : cut], ' ') AS one, array_to_string(p[cut + 1 : k], ' ') AS two
+  FROM c, range(1, 3) AS t(cut) WHERE cut < k),
+scored AS (
+  SELECT t.lang, t.k, t.phrase, a, cut, x.f AS l, y.f AS r,
+    CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts t JOIN f x ON x.lang = t.lang AND x.phrase = one JOIN f y ON y.lang = t.lang AND y.phrase = two),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(p[1:2], ' '), array_to_string(p[2:3], ' ')]) AS part FROM c WHERE k = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN around o ON s.k = 2 AND o.lang = s.lang AND o.part = s.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -202,6 +239,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_jaccard": op9_jaccard,
     "op10_bpe": op10_bpe,
+    "op11_collocations": op11_collocations,
     "op12_toxicity": op12_toxicity,
     "op13_codes": op13_codes,
 }
@@ -209,5 +247,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op4_warc": OP4_SQL,
+    "op11_collocations": OP11_SQL,
     "op13_codes": _codes_sql(),
 }

@@ -77,8 +77,8 @@ def texts(n, seed, stems=("mugglo", "vilest"), ends=("oso", "ent", "ika", "ura")
 
 def test_words_never_seen_are_found_by_their_parts():
     model = tx.Model.new(0.4)
-    rows = [(t, y) for _, t, y in texts(400, 1)]
-    for _ in range(20):  # as many as a fit on so few texts takes
+    rows = [(t, y) for _, t, y in texts(1500, 1)]
+    for _ in range(6):
         model = tx.trained(model, rows)
     other = texts(200, 2, ends=("ZZA", "qui"))  # ends that training never saw
     folded = model.folded()
