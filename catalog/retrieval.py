@@ -10,10 +10,14 @@ from catalog.registry import query
 from lexiloom.functions.text import preview
 from lexiloom.operators import tfidf
 from lexiloom.operators.chunks import chunk_documents
+from lexiloom.operators.coarse import CoarseIndex
+from lexiloom.operators.coarse import recall as recall_of
 from lexiloom.operators.encoder import hash_embed as embed_hashed
 from lexiloom.operators.vectors import CellIndex
 from lexiloom.operators.vectors import vector_topk as search_vectors
+from lexiloom.plans.corpus import ingest
 from lexiloom.plans.retrieval import positive_hits, retrieve
+from lexiloom.sources.collection import Collection
 from lexiloom.sources.scratch import scratch_path
 
 
@@ -81,6 +85,20 @@ def vector_topk_cells(spark, folder):
     return index.search(_centroids(vectors))
 
 
+@query(
+    "vector_recall",
+    """SELECT count(*) AS queries, 10 * count(*) AS expected, TRUE AS reached
+FROM embeddings WHERE vec_id % 100 = 0""",
+)
+def vector_recall(spark, folder):
+    """Recall of the stored approximate index; queries are the vectors with ids divisible by 100."""
+    vectors = table(spark, folder, "embeddings")
+    queries = vectors.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    index = CoarseIndex.build(vectors, scratch_path(spark, "coarse"), k=10)
+    found = recall_of(search_vectors(queries, vectors, 10), index.search(queries, 10))
+    return found.select("queries", "expected", (F.col("recall") >= 0.9).alias("reached"))
+
+
 @query(
     "tfidf_topk_stored",
     f"WITH {S.PASSAGES}, {S.tfidf_hits('passages')} SELECT query_id, rank, doc_id, score FROM hits",
@@ -147,6 +165,48 @@ def text_vector_topk(spark, folder):
     )
 
 
+@query(
+    "collection_topk",
+    f"""WITH {_EMBEDDED}
+SELECT CAST(q AS BIGINT) AS query_id, row_number() OVER (PARTITION BY q ORDER BY distance, c) AS rank,
+  c AS doc_id, t AS text, round(1 / (1 + distance), 6) AS score FROM pairs QUALIFY rank <= 4""",
+)
+def collection_topk(spark, folder):
+    """Passages against a collection that the documents were ingested into."""
+    store = Collection(spark, scratch_path(spark, "collection"))
+    docs = documents(spark, folder)
+    ingest(
+        docs,
+        store,
+        embed=lambda chunks: embed_hashed(chunks, "chunk_text", 64, _md5_hash),
+        text_col="text",
+        category_col="source",
+    )
+    return retrieve(
+        passages(spark, folder),
+        store,
+        "vector",
+        embed_queries=lambda asked: embed_hashed(asked, "query", 64, _md5_hash),
+    )
+
+
+@query(
+    "batch_query_passes",
+    f"""WITH queries AS (SELECT vec_id AS query_id, embedding FROM embeddings), {_nearest('queries', 5)}
+SELECT query_id, count(*) AS num_results, max(distance) AS farthest FROM nearest GROUP BY query_id""",
+)
+def batch_query_passes(spark, folder):
+    """Every stored vector as a query, in several passes over the vectors."""
+    vectors = table(spark, folder, "embeddings")
+    queries = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    block = max(100, vectors.count() // 4)
+    return (
+        search_vectors(queries, vectors, 5, query_block=block)
+        .groupBy("query_id")
+        .agg(F.count("*").alias("num_results"), F.max("distance").alias("farthest"))
+    )
+
+
 @query(
     "tokenize_terms",
     f"""SELECT doc_id, term, count(*) AS n FROM

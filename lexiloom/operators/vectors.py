@@ -1,10 +1,10 @@
 """Exact nearest neighbours by squared Euclidean distance, for batches of queries.
 
 Distances are block matrix products inside Arrow tasks, and a task hands on only
-the best ``k`` rows per query, so pairs are never written out. A bounded set of
-queries is broadcast and the vectors stay where they are. Beyond the bound both
-sides are cut into blocks that meet once in a co-group. The cell index prunes
-with the triangle inequality and stays exact.
+the best ``k`` rows per query, so pairs are never written out. Queries go to the
+vectors, never the other way: a bounded block of queries is broadcast, and larger
+query tables take several passes over the vectors, one block after another. The
+cell index prunes with the triangle inequality and stays exact.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiloom.sources.scratch import scratch_path
+
 # Default result count and the precision distances are ranked at.
 TOP_K = 4
 DIGITS = 6
@@ -54,21 +56,24 @@ class _Best:
         self.k = k
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        if not len(ids) or not len(self.queries):
+    def add(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """Look at some vectors, for all queries or those in ``rows``."""
+        queries = self.queries if rows is None else self.queries[rows]
+        if not len(ids) or not len(queries):
             return
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], vectors[order]
         step = max(1, _TILE // len(ids))
-        for first in range(0, len(self.queries), step):
-            distances = squared_distances(self.queries[first : first + step], vectors)
+        for first in range(0, len(queries), step):
+            distances = squared_distances(queries[first : first + step], vectors)
             if len(ids) > self.k:
                 cut = np.partition(distances, self.k - 1, axis=1)[:, self.k - 1 : self.k]
                 row, col = np.nonzero(distances <= cut)
             else:
                 row, col = np.nonzero(distances >= 0)
             near = distances[row, col]
-            row, near, picked = self._trim(row + first, near, ids[col])
+            own = row + first if rows is None else rows[row + first]
+            row, near, picked = self._trim(own, near, ids[col])
             self.found.append((row, near, picked))
         if len(self.found) > 64:
             self._merge()
@@ -134,20 +139,42 @@ def vector_topk(
     vec_id: str = "vec_id",
     vector_col: str = "embedding",
     query_block: int = QUERY_BLOCK,
-    vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, distance, score)``, nearest first, ties by id.
 
+    More queries than ``query_block`` take as many passes as they have blocks.
+
     Ids must be unique on both sides and neither ids nor vectors null.
     """
     if k < 1:
         raise ValueError("k must be positive")
-    asked = queries.select(query_id, vector_col).limit(query_block + 1).toArrow()
+    return _rank(in_passes(
+        queries.select(query_id, vector_col),
+        query_id,
+        query_block,
+        lambda asked: _broadcast_hits(queries, asked, vectors, k, query_id, vec_id, vector_col),
+    ), k)
+
+
+def in_passes(queries: DataFrame, query_id: str, query_block: int, search) -> DataFrame:
+    """``search(block)`` over blocks of queries, each an Arrow table that the driver can hold.
+
+    A single block stays lazy. Several run one after the other, and what each
+    finds is stored, so only one block is held and broadcast at a time.
+    """
+    asked = queries.limit(query_block + 1).toArrow()
     if asked.num_rows <= query_block:
-        hits = _broadcast_hits(queries, asked, vectors, k, query_id, vec_id, vector_col)
-    else:
-        hits = _blocked_hits(queries, vectors, k, query_id, vec_id, vector_col, query_block, vector_block)
-    return _rank(hits, k)
+        return search(asked)
+    spark = queries.sparkSession
+    path, hits = scratch_path(spark, "queries"), scratch_path(spark, "hits")
+    queries.write.parquet(path)
+    stored = spark.read.parquet(path)
+    # Blocks by hash of the id differ a little in size; half a block to spare.
+    blocks = max(2, math.ceil(stored.count() / max(1, query_block // 2)))
+    block = F.pmod(F.xxhash64(query_id), F.lit(blocks))
+    for b in range(blocks):
+        search(stored.filter(block == b).toArrow()).write.mode("append").parquet(hits)
+    return spark.read.parquet(hits)
 
 
 def _broadcast_hits(queries, asked, vectors, k, query_id, vec_id, vector_col) -> DataFrame:
@@ -183,34 +210,6 @@ def _search_group(k: int):
     return search
 
 
-def _blocked_hits(
-    queries, vectors, k, query_id, vec_id, vector_col, query_block, vector_block
-) -> DataFrame:
-    q_blocks = max(1, math.ceil(queries.count() / query_block))
-    v_blocks = max(1, math.ceil(vectors.count() / vector_block))
-
-    def copies(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = queries.select(
-        query_id,
-        vector_col,
-        F.pmod(F.xxhash64(query_id), F.lit(q_blocks)).cast("int").alias("qb"),
-        copies(v_blocks).alias("vb"),
-    )
-    right = vectors.select(
-        vec_id,
-        vector_col,
-        copies(q_blocks).alias("qb"),
-        F.pmod(F.xxhash64(vec_id), F.lit(v_blocks)).cast("int").alias("vb"),
-    )
-    return (
-        left.groupBy("qb", "vb")
-        .cogroup(right.groupBy("qb", "vb"))
-        .applyInArrow(_search_group(k), _hits_schema(queries, query_id, vectors, vec_id))
-    )
-
-
 class CellIndex:
     """Vectors assigned to their nearest pivot, with the reach of every cell.
 

@@ -149,7 +149,7 @@ def test_vector_search_equals_brute_force(spark, copies):
     queries = queries.union(spark.createDataFrame(q_rows[-1:], queries.schema))
     want = nearest(q_rows, v_rows, 5)
     assert hits_of(vector_topk(queries, stored, 5)) == want
-    assert hits_of(vector_topk(queries, stored, 5, query_block=7, vector_block=40)) == want
+    assert hits_of(vector_topk(queries, stored, 5, query_block=7)) == want
     index = CellIndex.build(stored, cells=12)
     assert hits_of(index.search(queries, 5, probes=1, vector_block=20)) == want
     assert hits_of(index.search(queries, 5, probes=2, query_block=10)) == want
