@@ -1,18 +1,29 @@
 """TF-IDF index and retrieval.
 
-Documents are hashed on their id once; term counts, norms and scores of a
-document are then computed where it lies. The vocabulary holds every term unless
-a cap is asked for; only a cap within the broadcast bound makes it a broadcast,
-else the join is chosen at run time from its size. A bounded set of queries is broadcast too, so scores are
-complete before the only shuffle of the search, which carries the best ``k``
-candidates per query and partition. Larger query sets use a shuffle join in
-which each term is spread over as many salts as its document frequency asks for.
+Texts never move: the terms of a document are counted where it lies, as a sorted
+run of terms, and only (term, count) partials are shuffled for the vocabulary,
+which is stored once. A vocabulary within the broadcast bound goes to the runs,
+so weights and norms are computed in place; a larger one is joined, and then the
+postings move, without text. The vocabulary holds every term unless a cap is
+asked for. Ids must be unique and not null.
+
+A search brings the queries to the postings. Each task goes through its documents
+in blocks, knows the largest weight of every asked term in a block, and keeps the
+best ``k`` per query: terms that together cannot lift a document above the
+query's k-th score are only looked up for documents that other terms found, and
+blocks that cannot reach it are skipped. What is shuffled is ``k`` rows per query
+and task. Query tables beyond the bound take several passes, a block of queries
+each; a shuffle join with salted terms is there for callers who prefer it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +31,8 @@ from lexiloom.functions.binding import explode_once
 from lexiloom.functions.stopwords import ENGLISH_STOP_WORDS
 from lexiloom.functions.text import is_valid_text
 from lexiloom.functions.tokens import terms
-from lexiloom.plans.sizing import BROADCAST_ROWS, chars_within
+from lexiloom.plans.sizing import BROADCAST_CHARS, chars_within
+from lexiloom.sources.scratch import kept, scratch_path
 
 # Default result count and score precision.
 TOP_K = 4
@@ -29,6 +41,11 @@ SCORE_DIGITS = 6
 POSTINGS_PER_SALT = 200_000
 # Directories a stored index spreads its terms over.
 TERM_BUCKETS = 64
+# Terms and characters of a vocabulary that is brought to the documents.
+VOCABULARY_TERMS, VOCABULARY_CHARS = 500_000, 8_000_000
+# Postings that a task searches at once; a document's postings stay together.
+BLOCK = 1 << 18
+_SLACK = 10.0**-SCORE_DIGITS
 
 
 def _bucket() -> Column:
@@ -40,17 +57,41 @@ def tokenize(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return explode_once(df, [id_col], terms(F.col(text_col)), "term")
 
 
+def term_runs(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
+    """Array of (term, tf) of a text, sorted by term, without stop words."""
+    unwanted = pa.array(sorted(set(stop_words)), pa.string())
+
+    @F.arrow_udf("array<struct<term: string, tf: bigint>>")
+    def count(lists: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(lists)), sizes)
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary
+        order = pc.sort_indices(words)
+        place = np.empty(len(words), dtype=np.int64)
+        place[order.to_numpy()] = np.arange(len(words))
+        at = place[coded.indices.to_numpy()]
+        words = words.take(order)
+        wanted = ~pc.is_in(words, value_set=unwanted).to_numpy(zero_copy_only=False)
+        keep = wanted[at] if len(words) else np.zeros(0, dtype=bool)
+        pairs, tf = np.unique(row[keep] * max(1, len(words)) + at[keep], return_counts=True)
+        found, term = np.divmod(pairs, max(1, len(words)))
+        offsets = np.searchsorted(found, np.arange(len(lists) + 1)).astype(np.int32)
+        runs = pa.StructArray.from_arrays([words.take(pa.array(term)), pa.array(tf)], names=["term", "tf"])
+        return pa.ListArray.from_arrays(pa.array(offsets), runs)
+
+    return count(terms(text))
+
+
 def term_counts(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
 ) -> DataFrame:
-    """``(id, term, tf)`` without stop words, partitioned by id."""
-    found = tokenize(docs.select(id_col, text_col).repartition(F.col(id_col)), id_col, text_col)
-    if stop_words:
-        found = found.filter(~F.col("term").isin(*stop_words))
-    return found.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+    """``(id, term, tf)`` without stop words, where the documents lie."""
+    runs = explode_once(docs, [id_col], term_runs(F.col(text_col), stop_words), "run")
+    return runs.select(id_col, "run.term", "run.tf")
 
 
 def vocabulary(counts: DataFrame, max_terms: int | None = None) -> DataFrame:
@@ -75,18 +116,137 @@ def with_idf(vocab: DataFrame, docs: DataFrame, text_col: str = "text") -> DataF
     return vocab.withColumn("idf", inverse_frequency(F.col("df"), n))
 
 
-def weigh(
-    counts: DataFrame, vocab_idf: DataFrame, id_col: str = "doc_id", max_terms: int | None = None
-) -> DataFrame:
-    """``(id, term, weight)`` with unit-length rows; terms out of the vocabulary drop out."""
-    lookup = vocab_idf.select("term", "idf")
-    if max_terms is not None and max_terms <= BROADCAST_ROWS:
-        lookup = F.broadcast(lookup)
-    raw = counts.join(lookup, "term").withColumn("raw", F.col("tf") * F.col("idf"))
+def weigh(counts: DataFrame, vocab_idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(id, term, weight)`` with unit-length rows; terms out of the vocabulary drop out.
+
+    The join for vocabularies of any size: postings move to their terms and back to their documents.
+    """
+    raw = counts.join(vocab_idf.select("term", "idf"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
     return raw.select(id_col, "term", (F.col("raw") / norm).alias("weight"))
 
 
+class _Weigher:
+    """Weights of term runs by a vocabulary that every task holds."""
+
+    def __init__(self, spark: SparkSession, vocab_idf: DataFrame):
+        held = vocab_idf.select("term", "idf").toArrow().combine_chunks()
+        columns = [pa.concat_arrays(held.column(c).chunks) if held.num_rows else None for c in ("term", "idf")]
+        self.shared = spark.sparkContext.broadcast(columns)
+
+    def __call__(self, runs: Column) -> Column:
+        shared = self.shared
+
+        @F.arrow_udf("array<struct<term: string, weight: double>>")
+        def weights(lists: pa.Array) -> pa.Array:
+            known, idf = shared.value
+            flat = lists.flatten()
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(lists)), sizes)
+            if known is None:
+                known, idf = pa.array([], pa.string()), pa.array([], pa.float64())
+            coded = flat.field("term").dictionary_encode()
+            place = pc.index_in(coded.dictionary, value_set=known)
+            value = pc.fill_null(idf.take(place), math.nan).to_numpy(zero_copy_only=False)
+            at = coded.indices.to_numpy()
+            raw = flat.field("tf").to_numpy() * (value[at] if len(value) else 0.0)
+            keep = ~np.isnan(raw)
+            row, raw = row[keep], raw[keep]
+            norm = np.sqrt(np.bincount(row, weights=raw * raw, minlength=len(lists)))
+            offsets = np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32)
+            term = flat.field("term").filter(pa.array(keep))
+            out = pa.StructArray.from_arrays([term, pa.array(raw / norm[row])], names=["term", "weight"])
+            return pa.ListArray.from_arrays(pa.array(offsets), out)
+
+        return weights(runs)
+
+
+def _fits(vocab: DataFrame) -> bool:
+    row = vocab.agg(F.count("*").alias("n"), F.sum(F.length("term")).alias("chars")).first()
+    return row.n <= VOCABULARY_TERMS and (row.chars or 0) <= VOCABULARY_CHARS
+
+
+def weighted(
+    docs: DataFrame, vocab_idf: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str], in_place: bool
+) -> DataFrame:
+    """``(id, term, weight)`` of documents; with ``in_place`` nothing is shuffled."""
+    if not in_place:
+        return weigh(term_counts(docs, id_col, text_col, stop_words), vocab_idf, id_col)
+    weigher = _Weigher(docs.sparkSession, vocab_idf)
+    runs = docs.select(id_col, term_runs(F.col(text_col), stop_words).alias("runs"))
+    rows = explode_once(runs, [id_col], weigher(F.col("runs")), "run")
+    return rows.select(id_col, "run.term", "run.weight")
+
+
+class _Asked:
+    """Weighted queries by term, for a search through blocks of postings."""
+
+    def __init__(self, asked: pa.Table, k: int):
+        self.ids = pc.unique(asked.column("query_id").combine_chunks())
+        query = pc.index_in(asked.column("query_id"), value_set=self.ids).to_numpy()
+        self.terms = pc.unique(asked.column("term").combine_chunks())
+        term = pc.index_in(asked.column("term"), value_set=self.terms).to_numpy()
+        weight = asked.column("query_weight").to_numpy()
+        order = np.argsort(query, kind="stable")
+        self.term, self.weight = term[order], weight[order]
+        self.edges = np.searchsorted(query[order], np.arange(len(self.ids) + 1))
+        self.k = k
+
+    def fresh(self) -> list[list]:
+        """Best (score, document) per query, none yet."""
+        return [[] for _ in range(len(self.ids))]
+
+    def look(self, best: list[list], ids: list, term: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> None:
+        """Go through a block: document ``ids``, and postings (term, document, weight)."""
+        order = np.argsort(term, kind="stable")
+        term, doc, weight = term[order], doc[order], weight[order]
+        edges = np.searchsorted(term, np.arange(len(self.terms) + 1))
+        used = np.flatnonzero(np.diff(edges))
+        largest = np.zeros(len(self.terms))
+        if len(used):
+            largest[used] = np.maximum.reduceat(weight, edges[used])
+        score, seen = np.zeros(len(ids)), np.zeros(len(ids), dtype=bool)
+        for q, (a, b) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
+            terms_, factor = self.term[a:b], self.weight[a:b]
+            bound = factor * largest[terms_]
+            found = best[q]
+            least = found[-1][0] - _SLACK if len(found) >= self.k else 0.0
+            total = bound.sum()
+            if total <= 0 or total < least:
+                continue
+            # Weak terms first: as long as their bounds sum up to less than the k-th score, they find nothing.
+            up = np.argsort(bound, kind="stable")
+            up = up[bound[up] > 0]
+            weak = int(np.searchsorted(np.cumsum(bound[up]), least, side="left")) if least > 0 else 0
+            touched = []
+            for t in up[weak:]:
+                own = slice(edges[terms_[t]], edges[terms_[t] + 1])
+                score[doc[own]] += factor[t] * weight[own]
+                touched.append(doc[own])
+            docs = np.unique(np.concatenate(touched)) if touched else np.zeros(0, np.int64)
+            if weak:
+                docs_able = docs[score[docs] + bound[up[:weak]].sum() >= least]
+                if len(docs_able):
+                    seen[docs_able] = True
+                    for t in up[:weak]:
+                        own = slice(edges[terms_[t]], edges[terms_[t] + 1])
+                        mine = seen[doc[own]]
+                        score[doc[own][mine]] += factor[t] * weight[own][mine]
+                    seen[docs_able] = False
+            else:
+                docs_able = docs
+            exact = np.round(score[docs_able], SCORE_DIGITS)
+            able = (exact >= least) & (score[docs_able] > 0)
+            score[docs] = 0.0
+            docs_able, exact = docs_able[able], exact[able]
+            if len(docs_able) > self.k:
+                cut = np.partition(exact, len(exact) - self.k)[len(exact) - self.k]
+                docs_able, exact = docs_able[exact >= cut], exact[exact >= cut]
+            found += [(x, ids[d]) for x, d in zip(exact.tolist(), docs_able.tolist())]
+            found.sort(key=lambda hit: (-hit[0], hit[1]))
+            del found[self.k :]
+
+
 class TfidfIndex:
     """Vocabulary and postings of a corpus, lazily planned or read back from disk."""
 
@@ -116,10 +276,11 @@ class TfidfIndex:
         stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
         max_terms: int | None = None,
     ) -> TfidfIndex:
-        """Plan an index; nothing runs before a search or a write."""
+        """Count the vocabulary and plan the postings, which a search or a write computes."""
         counts = term_counts(docs, id_col, text_col, stop_words)
-        vocab = with_idf(vocabulary(counts, max_terms), docs, text_col)
-        postings = weigh(counts, vocab, id_col, max_terms)
+        # Read several times below, and of a size that decides how weights are computed.
+        vocab = kept(with_idf(vocabulary(counts, max_terms), docs, text_col), "vocabulary")
+        postings = weighted(docs, vocab, id_col, text_col, stop_words, _fits(vocab))
         return cls(vocab, postings, id_col, stop_words, max_terms, placed=True)
 
     def write(self, path: str) -> None:
@@ -159,9 +320,7 @@ class TfidfIndex:
 
     def query_weights(self, queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
         counts = term_counts(queries, query_id, query_text, self.stop_words)
-        return weigh(counts, self.vocab, query_id, self.max_terms).withColumnRenamed(
-            "weight", "query_weight"
-        )
+        return weigh(counts, self.vocab, query_id).withColumnRenamed("weight", "query_weight")
 
     def search(
         self,
@@ -175,15 +334,15 @@ class TfidfIndex:
 
         Blank queries have no terms and so no hits. Scores are rounded before
         ranking and ties go to the smaller id, so results do not depend on the
-        order of summation.
+        order of summation. ``broadcast_queries=False`` asks for the salted join;
+        otherwise queries beyond the bound go through the postings block by block.
         """
-        asked = self.query_weights(queries, query_id, query_text)
-        if broadcast_queries is None:
-            broadcast_queries = chars_within(queries, query_text)
-        if broadcast_queries:
-            scored = self._score_in_place(asked, query_id)
+        if broadcast_queries is False:
+            scored = self._score_salted(self.query_weights(queries, query_id, query_text), query_id)
+        elif chars_within(queries, query_text):
+            scored = self._best(self._asked(queries, query_id, query_text), queries.schema[query_id].dataType, k)
         else:
-            scored = self._score_salted(asked, query_id)
+            scored = self._in_passes(queries, k, query_id, query_text)
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
         return (
             scored.withColumn("rank", F.row_number().over(best))
@@ -191,6 +350,61 @@ class TfidfIndex:
             .select("query_id", "rank", "doc_id", "score")
         )
 
+    def _asked(self, queries: DataFrame, query_id: str, query_text: str) -> pa.Table:
+        """Weights of a bounded set of queries."""
+        asked = self.query_weights(queries, query_id, query_text)
+        return asked.select(F.col(query_id).alias("query_id"), "term", "query_weight").toArrow()
+
+    def _in_passes(self, queries: DataFrame, k: int, query_id: str, query_text: str) -> DataFrame:
+        """One block of queries after another; what each finds is stored."""
+        spark = queries.sparkSession
+        queries = kept(queries.select(query_id, query_text), "queries")
+        chars = queries.agg(F.sum(F.length(query_text).cast("long"))).first()[0]
+        # Blocks by hash of the id differ a little in size; half a block to spare.
+        blocks = math.ceil(2 * chars / BROADCAST_CHARS)
+        path, block = scratch_path(spark, "hits"), F.pmod(F.xxhash64(query_id), F.lit(blocks))
+        for b in range(blocks):
+            asked = self._asked(queries.filter(block == b), query_id, query_text)
+            self._best(asked, queries.schema[query_id].dataType, k).write.mode("append").parquet(path)
+        return spark.read.parquet(path)
+
+    def _best(self, asked: pa.Table, query_type, k: int) -> DataFrame:
+        """``(query_id, doc_id, score)``, at most ``k`` rows of a query from each task."""
+        postings = self.postings
+        spark = postings.sparkSession
+        wanted = spark.createDataFrame(pa.table({"term": pc.unique(asked.column("term").combine_chunks())}))
+        if self.placed:
+            postings = postings.join(F.broadcast(wanted), "term", "left_semi")
+        else:
+            # Postings of asked terms move to their documents, not once per query.
+            keys = ["term"]
+            if "bucket" in postings.columns:
+                wanted, keys = wanted.withColumn("bucket", _bucket()), ["bucket", "term"]
+            postings = postings.join(F.broadcast(wanted), keys, "left_semi").repartition(F.col(self.id_col))
+            postings = postings.sortWithinPartitions(self.id_col)
+        shared = spark.sparkContext.broadcast(_Asked(asked, k))
+        id_type = postings.schema[self.id_col].dataType
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = shared.value
+            best, held, kind = asked.fresh(), [], None
+            for table in _whole_documents(batches):
+                kind = table.schema.field(0).type
+                ids = table.column(0).combine_chunks()
+                new = np.concatenate(([True], pc.not_equal(ids[1:], ids[:-1]).to_numpy(zero_copy_only=False)))
+                doc = np.cumsum(new) - 1
+                names = ids.filter(pa.array(new)).to_pylist()
+                term = pc.index_in(table.column(1).combine_chunks(), value_set=asked.terms).to_numpy()
+                asked.look(best, names, term, doc, table.column(2).to_numpy())
+            held = [(q, *hit) for q, hits in enumerate(best) for hit in hits]
+            if held:
+                query, score, name = zip(*held)
+                columns = [asked.ids.take(pa.array(query)), pa.array(name, kind), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "doc_id", "score"])
+
+        schema = f"query_id {query_type.simpleString()}, doc_id {id_type.simpleString()}, score double"
+        return postings.select(self.id_col, "term", "weight").mapInArrow(search, schema)
+
     def _summed(self, pairs: DataFrame, query_id: str) -> DataFrame:
         dot = F.sum(F.col("query_weight") * F.col("weight"))
         summed = pairs.groupBy(
@@ -199,19 +413,6 @@ class TfidfIndex:
         score = F.round("dot", SCORE_DIGITS).alias("score")
         return summed.filter("dot > 0").select("query_id", "doc_id", score)
 
-    def _score_in_place(self, asked: DataFrame, query_id: str) -> DataFrame:
-        postings = self.postings
-        if not self.placed:
-            # Only postings of asked terms move, and not once per query.
-            wanted = asked.select("term").distinct()
-            keys = ["term"]
-            if "bucket" in postings.columns:
-                wanted, keys = wanted.withColumn("bucket", _bucket()), ["bucket", "term"]
-            postings = postings.join(F.broadcast(wanted), keys, "left_semi").repartition(
-                F.col(self.id_col)
-            )
-        return self._summed(postings.join(F.broadcast(asked), "term"), query_id)
-
     def _score_salted(self, asked: DataFrame, query_id: str) -> DataFrame:
         salts = F.ceil(F.col("df") / POSTINGS_PER_SALT).cast("int")
         spread = self.vocab.select("term", salts.alias("salts"))
@@ -222,3 +423,22 @@ class TfidfIndex:
             "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
         )
         return self._summed(left.join(right.drop("salts"), ["term", "salt"]), query_id)
+
+
+def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Postings in tables of about ``BLOCK`` rows, cut between documents."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= BLOCK:
+            table = pa.Table.from_batches(held)
+            ids = table.column(0).combine_chunks()
+            same = pc.equal(ids, ids[-1]).to_numpy(zero_copy_only=False)
+            cut = int(len(same) - np.argmin(same[::-1])) if not same.all() else 0
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
