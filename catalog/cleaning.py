@@ -32,6 +32,23 @@ _step("strip_emails", T.strip_emails, S.emails)
 _step("normalize_ws", T.normalize_whitespace, S.spaces)
 
 
+_SCRIPTS = " привет мир, Ελλάδα, łódź škoda ć, ✓ → € 5, 日本語 😀"
+
+
+@query("fix_encoding_damaged", f"SELECT doc_id, md5(text || '{_SCRIPTS}') AS mended FROM documents")
+def fix_encoding_damaged(spark, folder):
+    """Texts whose UTF-8 was read as Latin-1, once and twice; mended, both are what they were."""
+    whole = F.concat("text", F.lit(_SCRIPTS))
+
+    def damaged(text):
+        return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+
+    docs = documents(spark, folder).select("doc_id", whole.alias("text"))
+    once, twice = damaged(F.col("text")), damaged(damaged(F.col("text")))
+    kinds = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, once).otherwise(twice).alias("text"))
+    return kinds.select("doc_id", F.md5(T.fix_encoding(F.col("text"))).alias("mended"))
+
+
 # The repair step comes first: in damaged text a trade mark sign is no emoji.
 @query(
     "strip_emoji",

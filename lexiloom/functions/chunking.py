@@ -1,20 +1,20 @@
 """Recursive character splitting as one Column expression.
 
-Pieces are never materialised for the merge: they tile the text, so a chunk is a
-range of it and only piece lengths are folded. The overlap is then just an
-earlier start of the range.
+The splitter runs in an Arrow pass, in one go over the text: pieces tile it, so
+only their lengths are needed, a chunk is a range, and the overlap is an earlier
+start of the range. Time and memory grow with the length of the text.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiloom.functions.binding import let
-from lexiloom.functions.text import is_valid_text
+from lexiloom.functions.text import SPACE_CHARS
 
 # Default sizes and separators, coarse to fine.
 CHUNK_SIZE = 1000
@@ -34,53 +34,39 @@ def split_keep(text: Column, separator: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _piece_lengths(text: Column, size: int, separators: Sequence[str]) -> Column:
-    """Lengths of the pieces of a text longer than ``size``, in order."""
-    if not separators:
-        width = F.length(text)
-        full = F.array_repeat(F.lit(size), F.floor(width / size).cast("int"))
-        rest = width % size
-        return F.when(rest > 0, F.concat(full, F.array(rest))).otherwise(full)
-    if separators[0] == "":
+def piece_lengths(text: str, size: int, separators: Sequence[str]) -> Iterator[int]:
+    """Lengths of the pieces of a text, in order: larger ones than ``size`` are split by the next separator."""
+    if len(text) <= size:
+        yield len(text)
+    elif not separators:
+        yield from [size] * (len(text) // size)
+        if len(text) % size:
+            yield len(text) % size
+    elif separators[0] == "":
         # Single characters fit, so nothing finer is ever tried.
-        return F.array_repeat(F.lit(1), F.length(text))
-    return F.flatten(
-        F.transform(
-            split_keep(text, separators[0]),
-            lambda piece: F.when(F.length(piece) <= size, F.array(F.length(piece))).otherwise(
-                _piece_lengths(piece, size, separators[1:])
-            ),
-        )
-    )
-
-
-def _chunk_ranges(lengths: Column, size: int, overlap: int) -> Column:
-    """Greedy packing of piece lengths into ``(start, stop)`` ranges, 0-based."""
-
-    def state(done: Column, start: Column, stop: Column) -> Column:
-        return F.struct(done.alias("done"), start.alias("start"), stop.alias("stop"))
-
-    def span(start: Column, stop: Column) -> Column:
-        return F.struct(start.alias("start"), stop.alias("stop"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        start, stop = acc["start"], acc["stop"]
-        tail = F.least(F.lit(overlap), stop - start)
-        restart = F.when(tail + piece <= size, stop - tail).otherwise(stop)
-        return F.when(
-            stop - start + piece <= size, state(acc["done"], start, stop + piece)
-        ).otherwise(state(F.concat(acc["done"], F.array(span(start, stop))), restart, stop + piece))
-
-    zero = F.lit(0)
-    none = F.filter(F.array(span(zero, zero)), lambda _: F.lit(False))
-    # Only an empty range meets a first piece longer than `size`, and pieces
-    # never are, so the opening state cannot be emitted.
-    return F.aggregate(
-        lengths,
-        state(none, zero, zero),
-        step,
-        lambda acc: F.concat(acc["done"], F.array(span(acc["start"], acc["stop"]))),
-    )
+        yield from [1] * len(text)
+    else:
+        mark, parts = separators[0], text.split(separators[0])
+        last = parts.pop()
+        for part in parts:
+            if len(part) + len(mark) <= size:
+                yield len(part) + len(mark)
+            else:
+                yield from piece_lengths(part + mark, size, separators[1:])
+        if last:
+            yield from piece_lengths(last, size, separators[1:])
+
+
+def chunk_ranges(lengths: Iterator[int], size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Greedy packing of piece lengths into ``(start, stop)`` ranges."""
+    start = stop = 0
+    for piece in lengths:
+        if stop - start + piece > size:
+            yield start, stop
+            tail = min(overlap, stop - start)
+            start = stop - tail if tail + piece <= size else stop
+        stop += piece
+    yield start, stop
 
 
 def split_chunks(
@@ -98,15 +84,18 @@ def split_chunks(
     if overlap >= size:
         overlap = 0
 
-    def split_long(value: Column) -> Column:
-        ranges = _chunk_ranges(_piece_lengths(value, size, list(separators)), size, max(overlap, 0))
-        return F.transform(
-            ranges, lambda r: F.substring(value, r["start"] + 1, r["stop"] - r["start"])
-        )
-
-    return let(
-        text,
-        lambda value: F.when(~is_valid_text(value), F.array().cast("array<string>"))
-        .when(F.length(value) <= size, F.array(value))
-        .otherwise(split_long(value)),
-    )
+    overlap, marks = max(overlap, 0), tuple(separators)
+
+    def chunks(value: str | None) -> list[str]:
+        if value is None or not value.strip(SPACE_CHARS):
+            return []
+        if len(value) <= size:
+            return [value]
+        return [value[a:b] for a, b in chunk_ranges(piece_lengths(value, size, marks), size, overlap)]
+
+    @F.arrow_udf("array<string>")
+    def split(texts: pa.Array) -> pa.Array:
+        return pa.array([chunks(t.as_py()) for t in texts], pa.list_(pa.string()))
+
+    # Not copied into filters and generators that look at the chunks.
+    return split.asNondeterministic()(text)

@@ -1,9 +1,11 @@
 """Encoding repair as a rule over code points.
 
-UTF-8 bytes read as windows-1252 or Latin-1 leave recognisable sequences. Each
-distinct sequence found in a text is mapped back to bytes and decoded, so no
-table of damaged words is needed. Two levels of damage are undone; unlike a full
-repair library, no plausibility score is taken and text is not put into NFC.
+UTF-8 bytes read as windows-1252 or Latin-1 leave recognisable runs: a character
+that stands for a lead byte and as many for trailing bytes as it asks for. A text
+is split at its maximal runs, each is mapped back to bytes, and what is valid
+UTF-8 is decoded, whatever the script. A single pair that real text may well
+contain, such as a capital before a closing quote, is left alone. Two levels of
+damage are undone; no plausibility score is taken and text is not put into NFC.
 """
 
 from __future__ import annotations
@@ -20,10 +22,17 @@ from lexiloom.functions.binding import let
 _CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 _C1 = _CP1252.encode("cp1252").decode("latin-1")
 _TRAIL = rf"[\x{{80}}-\x{{bf}}{_CP1252}]"
-# Two bytes for Latin-1 letters, three for punctuation and symbols, four for
-# emoji. Lead characters are limited to those that real text does not put
-# before such followers.
-_SEQUENCE = rf"[ÂÃ]{_TRAIL}|â[€‚„†ˆ]{_TRAIL}|ðŸ{_TRAIL}{_TRAIL}"
+# What may follow a letter in undamaged text: quotes, dashes, ellipsis, no-break space.
+_USUAL = r"[”’“‘…»–—\x{a0}]"
+_TWO = rf"[\x{{c2}}-\x{{df}}]{_TRAIL}"
+_THREE = rf"[\x{{e0}}-\x{{ef}}]{_TRAIL}{_TRAIL}"
+_FOUR = rf"[\x{{f0}}-\x{{f4}}]{_TRAIL}{_TRAIL}{_TRAIL}"
+# Several sequences side by side, or one that real text does not have. The lead
+# characters of Latin-1 letters and signs are none that text puts before these.
+_RUN = (
+    rf"(?:{_FOUR}|{_THREE}|{_TWO}){{2,}}+|{_FOUR}|[\x{{e0}}-\x{{ef}}](?!{_USUAL}{_USUAL}){_TRAIL}{_TRAIL}"
+    rf"|[ÂÃ]{_TRAIL}|[Ä-ß](?!{_USUAL}){_TRAIL}"
+)
 
 _ENTITY_NAMES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
 _ENTITY = r"&#?[0-9A-Za-z]{1,24};"
@@ -47,20 +56,23 @@ _CONTROL = (
     r"[\x00-\x1f\x7f\x{206a}-\x{fffc}&&"
     r"[\x00-\x08\x0b\x0e-\x1f\x7f\x{206a}-\x{206f}\x{feff}\x{fff9}-\x{fffc}]]"
 )
-# One pass over one class finds the few texts that need a closer look: controls,
-# ampersands, lead characters of damaged sequences, and typography.
+# One pass over one class finds the texts that need a closer look: controls,
+# ampersands, characters that stand for trailing bytes, and typography.
 _SUSPECT = (
     r"[\x{7f}-\x{fffc}\x{26}\x00-\x1f&&"
-    r"[\x00-\x08\x0b\x0d-\x1f&\x7f-\x9f\x{c2}\x{c3}\x{e2}\x{f0}\x{132}\x{133}\x{2bc}"
+    r"[\x00-\x08\x0b\x0d-\x1f&\x7f-\xbf\x{132}\x{133}\x{152}\x{153}\x{160}\x{161}\x{178}\x{17d}\x{17e}"
+    r"\x{192}\x{2bc}\x{2c6}\x{2dc}\x{2013}\x{2014}\x{2020}-\x{2022}\x{2026}\x{2030}\x{2039}\x{203a}\x{20ac}\x{2122}"
     r"\x{2018}-\x{201f}\x{2028}\x{2029}\x{206a}-\x{206f}\x{3000}\x{fb00}-\x{fb06}\x{feff}"
     r"\x{ff01}-\x{ff5e}\x{fff9}-\x{fffc}]]"
 )
 
 
 def _replace_found(text: Column, pattern: str, mend) -> Column:
-    """Replace every distinct match of the pattern by ``mend(match)``."""
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    return F.aggregate(found, text, lambda acc, hit: F.replace(acc, hit, mend(hit)))
+    """Replace every match of the pattern by ``mend(match)``, in one pass: what comes out is not looked at again."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), mend)
+    between = F.split(text, pattern, -1)
+    joined = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.when(F.rlike(text, F.lit(pattern)), F.array_join(joined, "")).otherwise(text)
 
 
 def _from_code_point(number: Column) -> Column:
@@ -89,12 +101,13 @@ def _entities(text: Column) -> Column:
     )
 
 
+def _decoded(run: Column) -> Column:
+    whole = F.encode(F.translate(run, _CP1252, _C1), "ISO-8859-1").cast("string")
+    return F.coalesce(F.try_validate_utf8(whole), run)
+
+
 def _mojibake(text: Column) -> Column:
-    return _replace_found(
-        text,
-        _SEQUENCE,
-        lambda hit: F.decode(F.encode(F.translate(hit, _CP1252, _C1), "ISO-8859-1"), "UTF-8"),
-    )
+    return _replace_found(text, _RUN, _decoded)
 
 
 def _typography(text: Column) -> Column:

@@ -1,9 +1,11 @@
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lexiloom.functions.chunking import SEPARATORS, split_chunks, split_keep
+from lexiloom.functions.chunking import SEPARATORS, chunk_ranges, piece_lengths, split_chunks, split_keep
 from lexiloom.operators.chunks import chunk_documents
 
 
@@ -139,4 +141,27 @@ def test_other_columns_and_empty_input(spark):
 def test_chunking_needs_no_shuffle(spark):
     df = spark.range(10).selectExpr("id AS doc_id", "repeat('ab ', 900) AS clean_text")
     plan = chunk_documents(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    # One Arrow pass over the texts; what follows does not repeat it.
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_time_grows_with_the_length_of_the_text():
+    def seconds(n):
+        text = ("word and another. " * 50 + "x" * 1200 + "\n") * (n // 2100)
+        best = 9.0
+        for _ in range(3):
+            started = time.perf_counter()
+            ranges = list(chunk_ranges(piece_lengths(text, 1000, SEPARATORS), 1000, 100))
+            best = min(best, time.perf_counter() - started)
+        assert ranges[-1][1] == len(text)
+        return best
+
+    one, two, four = (seconds(n) for n in (600_000, 1_200_000, 2_400_000))
+    assert two < 2.5 * one + 0.02 and four < 2.5 * two + 0.02
+
+
+def test_a_text_of_five_million_characters(apply):
+    text = "a sentence of some words. " * 200_000
+    got = split(apply, text)
+    assert len(got) == sum(1 for _ in chunk_ranges(piece_lengths(text, 1000, SEPARATORS), 1000, 100))
+    assert all(len(c) <= 1000 for c in got) and got[-1] == text[-len(got[-1]) :]

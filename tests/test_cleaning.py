@@ -43,6 +43,32 @@ def test_steps_give_empty_text_for_unusable_input(apply, step):
     assert apply(step, None, "", "  \n ") == ["", "", ""]
 
 
+def misread(text, times=1):
+    """UTF-8 bytes read as windows-1252; its gaps as controls."""
+    for _ in range(times):
+        shown = [bytes([b]).decode("cp1252", "replace") for b in text.encode()]
+        text = "".join(chr(b) if c == "\ufffd" else c for b, c in zip(text.encode(), shown))
+    return text
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_damaged_runs_of_any_script_are_decoded(apply, times):
+    texts = ["škoda ć …т", "✓ ok → €5", "привет мир", "Ελλάδα", "łódź żółw", "日本語", "naïve Ünal ß", "😀"]
+    assert apply(T.fix_encoding, *[misread(t, times) for t in texts]) == texts
+
+
+def test_what_real_text_has_is_left_alone(apply):
+    texts = ["DÉJÀ…", "É\xa0!", "É…", "ÂGE – «É»", "N°5 ¿Qué?", "Å", "Ñ – Ñ"]
+    assert apply(T.fix_encoding, *texts) == texts
+    quoted = ["CAFÉ”", "café…”", "BÖ”", "à la “mode”"]
+    assert apply(T.fix_encoding, *quoted) == [t.replace("”", '"').replace("“", '"') for t in quoted]
+
+
+def test_what_comes_out_is_not_looked_at_again(apply):
+    texts = ["&amp;lt; alone", "&amp;lt; and &lt;", "Å¡koda Ä‡ …Ñ‚", "âœ“ ok"]
+    assert apply(T.fix_encoding, *texts) == ["&lt; alone", "&lt; and <", "škoda ć …т", "✓ ok"]
+
+
 def test_fix_encoding(apply):
     assert apply(
         T.fix_encoding,
