@@ -21,8 +21,8 @@ BLANKS = b" \t\n\v\f\r"
 
 _IS_BLANK = np.zeros(256, dtype=bool)
 _IS_BLANK[list(BLANKS)] = True
-#: Bytes hashed at once; eight-byte intermediates make this about 50 MB.
-_PIECE = 1 << 20
+#: Bytes hashed at once; eight-byte intermediates make this about 12 MB.
+_PIECE = 1 << 18
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -36,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import LOWER, as_bytes, chunks, mix, word_hashes
@@ -52,6 +52,8 @@ FIELDS = 1 << 20
 ROUNDS = 3
 #: Pairs of different components for each posting left that are compared without a further round.
 PAIRS_PER_POSTING = 4
+#: Tokens that are counted together.
+RANGE = 1 << 20
 #: Bits of a membership table per entry, and at most.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 28
 
@@ -176,8 +178,31 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+#: Rows of an Arrow batch whose texts are copied at once.
+_ROWS = 256
+
+
+def _read(docs: DataFrame, id_col: str, text_col: str, wanted) -> DataFrame:
+    columns = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
+    if wanted is not None:
+        columns.append(F.xxhash64(columns[0]).alias("h"))
+    return docs.select(*columns)
+
+
+def _sets_of(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[tuple[pa.Array, Sets]]:
+    """Ids and sets of a few documents at a time."""
+    for batch in batches:
+        if wanted is not None:
+            named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(_held(wanted.value, batch.column(2).to_numpy()) | ~named))
+        for at in range(0, batch.num_rows, _ROWS):
+            ids, texts = batch.column(0).slice(at, _ROWS), as_bytes(batch.column(1).slice(at, _ROWS))
+            for a, b in chunks(texts, 1 << 18):
+                yield ids.slice(a, b - a), Sets(texts[a:b])
+
+
 def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, wanted=None) -> DataFrame:
-    """Arrow pass over (id, text): ``each(ids, sets)`` gives columns for a chunk of documents.
+    """Arrow pass over (id, text): ``each(ids, sets, state)`` gives columns for a few documents.
 
     ``wanted`` is a broadcast membership table of id hashes; documents out of it
     are left alone, but for those without an id.
@@ -185,20 +210,12 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, want
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
-        for batch in batches:
-            if wanted is not None:
-                named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-                batch = batch.filter(pa.array(_held(wanted.value, batch.column(2).to_numpy()) | ~named))
-            ids, texts = batch.column(0), as_bytes(batch.column(1))
-            for a, b in chunks(texts, 1 << 20):
-                out = each(ids.slice(a, b - a), Sets(texts[a:b]), state)
-                if out is not None:
-                    yield out
+        for ids, sets in _sets_of(batches, wanted):
+            out = each(ids, sets, state)
+            if out is not None:
+                yield out
 
-    columns = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
-    if wanted is not None:
-        columns.append(F.xxhash64(columns[0]).alias("h"))
-    return docs.select(*columns).mapInArrow(run, schema)
+    return _read(docs, id_col, text_col, wanted).mapInArrow(run, schema)
 
 
 def _stored(frame: DataFrame, name: str) -> DataFrame:
@@ -218,14 +235,38 @@ def _members(docs, id_col, text_col) -> DataFrame:
     return _mapped(docs, id_col, text_col, "id bigint, n bigint, key binary", each)
 
 
-def _order(docs, id_col, text_col) -> Order:
-    """From the number of documents of every token."""
+def _order(docs, id_col, text_col, classes: DataFrame, wanted) -> Order:
+    """From the number of classes of every token, counted on one document of each.
 
-    def each(ids, sets, _):
-        return pa.RecordBatch.from_arrays([pa.array(sets.tokens.view(np.int64))], names=["token"])
-
-    counts = _mapped(docs, id_col, text_col, "token bigint", each).groupBy("token").agg(F.count("*").alias("n"))
-    shared = _stored(counts.filter("n > 1"), "tokens")
+    Tasks send sorted runs of tokens to ranges of the hash, which keeps a token
+    at eight bytes; a range has about ``RANGE`` tokens.
+    """
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    ranges = np.uint64(max(1, -(-total // RANGE)))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, sets in _sets_of(batches, wanted):
+            held.append(sets.tokens)
+            size += len(sets.tokens)
+            if size >= 2 * RANGE:
+                yield _token_runs(held, ranges)
+                held, size = [], 0
+        if size:
+            yield _token_runs(held, ranges)
+
+    def count(runs: pa.Table) -> pa.Table:
+        tokens = np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in runs.column("tokens").to_pylist()])
+        counts = np.concatenate([np.frombuffer(c, dtype=np.uint32) for c in runs.column("counts").to_pylist()])
+        order = np.argsort(tokens, kind="stable")
+        tokens, counts = tokens[order], counts[order].astype(np.int64)
+        starts = np.concatenate(([0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1))
+        n = np.add.reduceat(counts, starts)
+        several = n > 1
+        return pa.table({"token": tokens[starts[several]].view(np.int64), "n": n[several]})
+
+    sent = _read(docs, id_col, text_col, wanted).mapInArrow(send, "at bigint, tokens binary, counts binary")
+    shared = _stored(sent.groupBy("at").applyInArrow(count, "token bigint, n bigint"), "tokens")
     field = F.expr(f"token & {FIELDS - 1}L").alias("at")
     rows = shared.groupBy(field).agg(F.max("n").alias("n")).toArrow()  # FIELDS rows at most
     steps = np.zeros(FIELDS, dtype=np.uint8)
@@ -233,6 +274,16 @@ def _order(docs, id_col, text_col) -> Order:
     return Order(_bits(shared, "token")[0], steps)
 
 
+def _token_runs(held: list[np.ndarray], ranges: np.uint64) -> pa.RecordBatch:
+    """Distinct tokens and their counts, a row for each range of the hash."""
+    tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+    at = ((tokens >> np.uint64(32)) * ranges >> np.uint64(32)).astype(np.int64)
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
+    ends, counts = np.append(starts[1:], len(at)), counts.astype(np.uint32)
+    columns = [pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in (tokens, counts)]
+    return pa.RecordBatch.from_arrays([pa.array(at[starts]), *columns], names=["at", "tokens", "counts"])
+
+
 def _bits(hashes: DataFrame, *columns: str) -> np.ndarray:
     """Membership table of each column of 64-bit hashes, two bits a hash, built by the executors."""
     n = hashes.count()
@@ -280,20 +331,36 @@ def _first_half(key: str) -> Column:
     return out
 
 
-def _postings(docs, id_col, text_col, order: Order, percent: int) -> DataFrame:
-    """(token, class, n, place, parities) for prefix tokens that several documents may have."""
+def _postings(docs, id_col, text_col, order: Order, wanted, percent: int) -> DataFrame:
+    """(class, n, parities, its prefix tokens that other classes may have, with their places), a row for each class."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def postings(ids, sets, _):
         of, tokens, places = sets.shared_firsts(shared.value, percent)
-        keys = pa.array(sets.keys(), pa.binary())
-        columns = [tokens.view(np.int64), sets.sizes[of], places, *sets.parities()[:, of]]
+        if not len(of):
+            return None
+        some, first = np.unique(of, return_index=True)
+        offsets = pa.array(np.append(first, len(of)).astype(np.int32))
+        pairs = pa.StructArray.from_arrays([pa.array(tokens.view(np.int64)), pa.array(places)], names=["token", "place"])
+        columns = [sets.sizes[some], *sets.parities()[:, some]]
         return pa.RecordBatch.from_arrays(
-            [keys.take(pa.array(of)), *map(pa.array, columns)], names=["key", "token", "n", "place", "x", "y"]
+            [pa.array(sets.keys(), pa.binary()).take(pa.array(some)), *map(pa.array, columns), pa.ListArray.from_arrays(offsets, pairs)],
+            names=["key", "n", "x", "y", "firsts"],
         )
 
-    schema = "key binary, token bigint, n bigint, place bigint, x bigint, y bigint"
-    return _mapped(docs, id_col, text_col, schema, postings).distinct()
+    schema = "key binary, n bigint, x bigint, y bigint, firsts array<struct<token: bigint, place: bigint>>"
+    return _mapped(docs, id_col, text_col, schema, postings, wanted).dropDuplicates(["key"])
+
+
+def _lists(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """A row for each prefix token of a class, with its component; labels are joined once for a class."""
+    return _labelled(classes, labels).select("*", F.inline("firsts")).drop("firsts")
+
+
+def _gathered(postings: DataFrame) -> DataFrame:
+    """Back to a row for each class; a prefix bounds the array."""
+    firsts = F.collect_list(F.struct("token", "place")).alias("firsts")
+    return postings.groupBy("key", "n", "x", "y").agg(firsts)
 
 
 def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
@@ -334,9 +401,10 @@ def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, perc
         pairs = zip(a.to_pylist(), b.to_pylist())
         return pa.array([linked(unpacked(x), unpacked(y), percent) for x, y in pairs], pa.bool_())
 
+    # Leaders, which have many pairs, come first; then the pairs are spread by the other end.
     met = (
-        pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
-        .join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
+        pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
+        .join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
         .select("ca", "cb", test.asNondeterministic()(F.col("x"), F.col("y")).alias("ok"))
     )
     return met.filter("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
@@ -453,16 +521,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = _stored(_members(docs, id_col, text_col), "members")
     # Classes without tokens link with nothing, not even with each other.
     full = members.filter("n > 0")
-    classes = _stored(full.groupBy("key").agg(F.min("id").alias("id")), "classes")
-    order = _order(docs, id_col, text_col)
-    postings = _stored(_postings(docs, id_col, text_col, order, percent), "postings")
+    classes = _stored(full.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n")), "classes")
+    # One document of each class is enough for counts and prefixes; a few more pass the table.
+    named = classes.select(F.xxhash64("id").alias("h"))
+    wanted = docs.sparkSession.sparkContext.broadcast(_bits(named, "h")[0])
+    order = _order(docs, id_col, text_col, classes, wanted)
+    postings = _stored(_postings(docs, id_col, text_col, order, wanted, percent), "postings")
+    classes = classes.drop("n")
 
     def links(pairs: DataFrame) -> DataFrame:
         return _stored(_verified(docs, id_col, text_col, classes, _stored(pairs, "pairs"), percent), "links")
 
     labels = None
     for seed in range(ROUNDS + 1):
-        left = _stored(_mixed(_labelled(postings.drop("component"), labels)), "mixed")
+        left = _stored(_mixed(_lists(postings, labels)), "mixed")
         n, pairs = _left(left)
         if not n:
             break
@@ -477,7 +549,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             labels = connected(found if labels is None else found.unionAll(labels.toDF("a", "b")))
         if last:
             break
-        postings = left
+        postings = _stored(_gathered(left), "postings")
     classes = _labelled(classes, labels)
     least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
     named = classes.join(least, "component").select("key", "component_id")
@@ -487,8 +559,39 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without those whose component has a smaller id; rows of one id are one document."""
-    gone = components(docs, id_col, text_col).filter(F.col("component_id") != F.col(id_col))
-    kept = docs.join(gone.select(id_col).distinct(), id_col, "left_anti")
-    unnamed = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
-    return kept.withColumn("__unnamed", unnamed).dropDuplicates([id_col, "__unnamed"]).drop("__unnamed")
+    """Documents without those whose component has a smaller id; rows of one id are one document.
+
+    Ids decide: a bit table of the ids that go or come twice lets the other rows
+    through without a shuffle. Of the rest, rows of ids that stay are joined back.
+    """
+    named = F.col(id_col).cast("long").alias("id")
+    found = _stored(components(docs, id_col, text_col), "components")
+    ids = found.filter(F.col(id_col).isNotNull()).groupBy(named).agg(
+        F.min((F.col("component_id") != F.col(id_col)).cast("int")).alias("gone"), F.count("*").alias("c")
+    )
+    ids = _stored(ids, "ids").withColumn("h", F.xxhash64("id"))
+    doubtful = _bits(ids.filter("gone = 1 or c > 1"), "h")[0]
+    stays = ids.filter("gone = 0")
+    flagged = stays.filter(_in_table(doubtful, "h"))
+    back = _bits(flagged, "h")[0]
+    hashed = F.xxhash64(F.col(id_col).cast("long"))
+    marked = docs.select("*", F.when(F.col(id_col).isNotNull(), hashed).alias("__hash"))
+    sure = marked.filter(F.col("__hash").isNull() | ~_in_table(doubtful, "__hash")).drop("__hash")
+    rest = marked.filter(F.col("__hash").isNotNull() & _in_table(doubtful, "__hash") & _in_table(back, "__hash"))
+    rest = rest.join(flagged.select(F.col("id").alias("__id")), F.col(id_col).cast("long") == F.col("__id"), "left_semi")
+    return sure.unionAll(rest.drop("__hash").dropDuplicates([id_col]))
+
+
+def _in_table(table: np.ndarray, column: str) -> Column:
+    """Whether a hash may be in the table; null is not."""
+    shared = _context().broadcast(table)
+
+    @F.arrow_udf("boolean")
+    def held(hashes: pa.Array) -> pa.Array:
+        return pa.array(_held(shared.value, hashes.fill_null(0).to_numpy(zero_copy_only=False)), pa.bool_())
+
+    return held(F.col(column))
+
+
+def _context():
+    return SparkSession.active().sparkContext
