@@ -39,6 +39,8 @@ OVERLAP = 3.0
 FIRST_STEPS, SET_STEPS = 8, 4
 #: Bytes whose trigrams are worked on at once.
 CHUNK = 1 << 19
+#: Rows of an Arrow batch whose texts are copied at once.
+ROWS = 512
 #: Languages one training task counts before it hands over.
 HELD = 64
 
@@ -69,7 +71,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
                 yield pa.RecordBatch.from_pydict({"lang": [lang] * len(b), "bucket": b, "n": n[b]})
             held.clear()
 
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             langs = batch.column(0).to_pylist()
             texts = as_bytes(batch.column(1))
             for lang in sorted(set(langs)):
@@ -171,20 +173,21 @@ def with_language(docs: DataFrame, model: MixtureModel, text_col: str = "text",
     @F.arrow_udf("struct<lang_pred: string, score: double, shares: map<string, double>, gain: double>")
     def detect(column: pa.Array) -> pa.Array:
         model, rows = shared.value, []
-        texts = column.to_pylist()
-        lettered = [bool(t) and _LETTER.search(t) is not None for t in texts]
-        usable = [t.encode() for t, ok in zip(texts, lettered) if ok] if model.names else []
-        shares, gains = model.mixtures(usable) if usable else (None, None)
-        at = 0
-        for ok in lettered:
-            if not (ok and usable):
-                rows.append((UNDETERMINED, 0.0, [], 0.0))
-                continue
-            row = shares[at]
-            top = int(row.argmax())
-            mix = [(model.names[i], float(row[i])) for i in np.flatnonzero(row > 0)]
-            rows.append((model.names[top], min(1.0, float(row[top])), mix, float(gains[at])))
-            at += 1
+        for first in range(0, len(column), ROWS):
+            texts = column.slice(first, ROWS).to_pylist()
+            lettered = [bool(t) and _LETTER.search(t) is not None for t in texts]
+            usable = [t.encode() for t, ok in zip(texts, lettered) if ok] if model.names else []
+            shares, gains = model.mixtures(usable) if usable else (None, None)
+            at = 0
+            for ok in lettered:
+                if not (ok and usable):
+                    rows.append((UNDETERMINED, 0.0, [], 0.0))
+                    continue
+                row = shares[at]
+                top = int(row.argmax())
+                mix = [(model.names[i], float(row[i])) for i in np.flatnonzero(row > 0)]
+                rows.append((model.names[top], min(1.0, float(row[top])), mix, float(gains[at])))
+                at += 1
         return pa.StructArray.from_arrays(
             [
                 pa.array([r[0] for r in rows], pa.string()),
