@@ -8,6 +8,8 @@ the stages against brute force.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +21,30 @@ from lexiloom.sources.scratch import scratch_path
 ORACLE_SQL = None
 
 
+#: Texts that a Python worker is handed at once, at most: what it and the JVM hold beside each other depends on it.
+BATCH = 1000
+
+
+def _in_small_batches(stage):
+    """The stage with Arrow batches that suit whole texts; a session that asks for smaller ones keeps them."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        asked = int(spark.conf.get(name))
+        if asked <= 0 or asked > BATCH:
+            spark.conf.set(name, str(BATCH))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _length(docs: DataFrame) -> DataFrame:
     """``n_chars`` of the text as it is now."""
     return docs.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@_in_small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a language learnt from their labels explains; those of no language go."""
     model = language_mixture.MixtureModel.fit(docs)
@@ -31,21 +52,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter(language_mixture.accepted(F.col("__language"))).drop("__language")
 
 
+@_in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least id."""
     return jaccard_join.one_of_each(docs).select(docs.columns)
 
 
+@_in_small_batches
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of the benchmark; documents mostly made of them go."""
     return _length(decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))).select(docs.columns)
 
 
+@_in_small_batches
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with identifiers replaced by their kind."""
     return _length(docs.withColumn("text", pii.masked(F.col("text")))).select(docs.columns)
 
 
+@_in_small_batches
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens, hash of the ids and of the text decoded from them, per document."""
     return docs.select("doc_id", bpe.digests(F.col("text"), vocabulary_path()).alias("found")).select("doc_id", "found.*")
