@@ -53,7 +53,7 @@ ROUNDS = 3
 #: Pairs of different components for each posting left that are compared without a further round.
 PAIRS_PER_POSTING = 4
 #: Tokens that are counted together.
-RANGE = 1 << 20
+RANGE = 1 << 19
 #: Bits of a membership table per entry, and at most.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 28
 
@@ -214,6 +214,8 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, want
             out = each(ids, sets, state)
             if out is not None:
                 yield out
+        # Workers live on between stages; what they no longer use goes back.
+        pa.default_memory_pool().release_unused()
 
     return _read(docs, id_col, text_col, wanted).mapInArrow(run, schema)
 
@@ -254,6 +256,8 @@ def _order(docs, id_col, text_col, classes: DataFrame, wanted) -> Order:
                 held, size = [], 0
         if size:
             yield _token_runs(held, ranges)
+        held.clear()
+        pa.default_memory_pool().release_unused()
 
     def count(runs: pa.Table) -> pa.Table:
         tokens = np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in runs.column("tokens").to_pylist()])
@@ -331,9 +335,8 @@ def _first_half(key: str) -> Column:
     return out
 
 
-def _postings(docs, id_col, text_col, order: Order, wanted, percent: int) -> DataFrame:
+def _postings(docs, id_col, text_col, shared, wanted, percent: int) -> DataFrame:
     """(class, n, parities, its prefix tokens that other classes may have, with their places), a row for each class."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def postings(ids, sets, _):
         of, tokens, places = sets.shared_firsts(shared.value, percent)
@@ -398,7 +401,8 @@ def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, perc
 
     @F.arrow_udf("boolean")
     def test(a: pa.Array, b: pa.Array) -> pa.Array:
-        pairs = zip(a.to_pylist(), b.to_pylist())
+        # One pair at a time: the sets of a batch can be large.
+        pairs = ((x.as_py(), y.as_py()) for x, y in zip(a, b))
         return pa.array([linked(unpacked(x), unpacked(y), percent) for x, y in pairs], pa.bool_())
 
     # Leaders, which have many pairs, come first; then the pairs are spread by the other end.
@@ -525,8 +529,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # One document of each class is enough for counts and prefixes; a few more pass the table.
     named = classes.select(F.xxhash64("id").alias("h"))
     wanted = docs.sparkSession.sparkContext.broadcast(_bits(named, "h")[0])
-    order = _order(docs, id_col, text_col, classes, wanted)
+    order = docs.sparkSession.sparkContext.broadcast(_order(docs, id_col, text_col, classes, wanted))
     postings = _stored(_postings(docs, id_col, text_col, order, wanted, percent), "postings")
+    order.unpersist()  # of the size of the index's token table
     classes = classes.drop("n")
 
     def links(pairs: DataFrame) -> DataFrame:
