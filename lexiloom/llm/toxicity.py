@@ -43,8 +43,8 @@ SIZES = (3, 4, 5, 6)
 BUCKETS, WIDTH = 1 << 17, 8
 #: Words of a passage; each passage starts a word after the one before.
 PASSAGE = 2
-#: Passes over the sample, at least and at most; between them, as many as make ``TEXTS`` texts.
-PASSES, MOST_PASSES, TEXTS = 5, 20, 12_000
+#: Passes over the sample.
+PASSES = 5
 #: Texts that share a step, and the length of a step for each kind of parameter.
 BATCH = 8
 RATE, WEIGHT_RATE, BIAS_RATE = 30.0, 0.0002, 0.02
@@ -194,7 +194,7 @@ class Model:
         if len(count) < 2:
             return float(next(iter(count), 0))
         model = cls.new(count[1] / count[0])
-        for _ in range(max(PASSES, min(MOST_PASSES, TEXTS // sum(count.values())))):
+        for _ in range(PASSES):
             model = _passed(sample.filter(~F.col("apart")), model)
         decided = _scored(sample.filter("apart"), model, "t", ["y"]).toArrow()  # a share of SAMPLE numbers
         model._calibrate(decided.column("decision").to_numpy(), decided.column("y").to_numpy() > 0)
