@@ -17,7 +17,6 @@ Training skips null texts and null labels; empty texts add nothing.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,8 +43,6 @@ ROWS = 512
 #: Languages one training task counts before it hands over.
 HELD = 64
 
-_LETTER = re.compile(r"[^\W\d_]")
-
 
 def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and text number of every trigram; texts are padded by spaces."""
@@ -147,6 +144,7 @@ class MixtureModel:
         order = np.argsort(-share, axis=1, kind="stable")
         rank = np.argsort(order, axis=1, kind="stable")
         best, value, fit = np.zeros_like(share), np.full(n_texts, -np.inf), np.zeros(n_texts)
+        growing = there
         for k in range(1, n_langs + 1):
             tried = np.where(rank < k, share + 1e-6, 0)
             tried = (tried / tried.sum(axis=1, keepdims=True)).astype(np.float32)
@@ -154,9 +152,10 @@ class MixtureModel:
                 tried = step(tried)[0].astype(np.float32)
             loglik = step(tried)[1]
             penalised = loglik / OVERLAP - 0.5 * (k - 1) * np.log(np.maximum(total, 2))
-            better = there & (penalised > value)
-            best[better], value[better], fit[better] = tried[better], penalised[better], loglik[better]
-            if not better.any():
+            # A text's set grows as long as it gains by it, whatever the texts beside it do.
+            growing = growing & (penalised > value)
+            best[growing], value[growing], fit[growing] = tried[growing], penalised[growing], loglik[growing]
+            if not growing.any():
                 break
         flat = -np.log(BUCKETS)
         return best, np.where(there, fit / np.maximum(total, 1) - flat, 0)
@@ -175,7 +174,7 @@ def with_language(docs: DataFrame, model: MixtureModel, text_col: str = "text",
         model, rows = shared.value, []
         for first in range(0, len(column), ROWS):
             texts = column.slice(first, ROWS).to_pylist()
-            lettered = [bool(t) and _LETTER.search(t) is not None for t in texts]
+            lettered = [bool(t) and any(map(str.isalpha, t)) for t in texts]  # Unicode category L
             usable = [t.encode() for t, ok in zip(texts, lettered) if ok] if model.names else []
             shares, gains = model.mixtures(usable) if usable else (None, None)
             at = 0
