@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,31 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
 
 
+#: Rows and bytes of an Arrow batch that suit whole texts and sets: what a worker and the JVM hold depends on both.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches within ``BATCH`` for the jobs run inside; then the session's own again."""
+    before = {name: spark.conf.get(name) for name in BATCH}
+    for name, most in BATCH.items():
+        spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def give_back() -> None:
+    """Free memory of this worker returns to the system: workers live on, idle, between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may have none
+    if trim is not None:
+        trim(0)
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """UTF-8 of every text; null is empty."""
     return [x or b"" for x in texts.cast(pa.binary()).to_pylist()]

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import LOWER, as_bytes, chunks, mix, word_hashes
+from lexiloom.llm.common import LOWER, as_bytes, chunks, give_back, mix, small_batches, word_hashes
 from lexiloom.sources.scratch import scratch_path
 
 WORDS = 5
@@ -214,8 +214,8 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, schema: str, each, want
             out = each(ids, sets, state)
             if out is not None:
                 yield out
-        # Workers live on between stages; what they no longer use goes back.
-        pa.default_memory_pool().release_unused()
+        state.clear()
+        give_back()
 
     return _read(docs, id_col, text_col, wanted).mapInArrow(run, schema)
 
@@ -257,7 +257,7 @@ def _order(docs, id_col, text_col, classes: DataFrame, wanted) -> Order:
         if size:
             yield _token_runs(held, ranges)
         held.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def count(runs: pa.Table) -> pa.Table:
         tokens = np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in runs.column("tokens").to_pylist()])
@@ -400,10 +400,12 @@ def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, perc
     sets = _sets(docs, id_col, text_col, _stored(both.join(classes, "key"), "needed"))
 
     @F.arrow_udf("boolean")
-    def test(a: pa.Array, b: pa.Array) -> pa.Array:
-        # One pair at a time: the sets of a batch can be large.
-        pairs = ((x.as_py(), y.as_py()) for x, y in zip(a, b))
-        return pa.array([linked(unpacked(x), unpacked(y), percent) for x, y in pairs], pa.bool_())
+    def test(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for a, b in batches:
+            # One pair at a time: the sets of a batch can be large.
+            pairs = ((x.as_py(), y.as_py()) for x, y in zip(a, b))
+            yield pa.array([linked(unpacked(x), unpacked(y), percent) for x, y in pairs], pa.bool_())
+        give_back()
 
     # Leaders, which have many pairs, come first; then the pairs are spread by the other end.
     met = (
@@ -522,6 +524,19 @@ def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``(id_col, n_shingles, component_id)``: least id among documents reachable by links."""
+    with small_batches(docs.sparkSession):
+        members, classes, labels = _linked_classes(docs, id_col, text_col, percent)
+    classes = _labelled(classes, labels)
+    least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = classes.join(least, "component").select("key", "component_id")
+    out = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"]
+    full = members.filter("n > 0")
+    empty = members.filter("n = 0").withColumn("component_id", F.col("id"))
+    return full.join(named, "key").select(*out).unionAll(empty.select(*out))
+
+
+def _linked_classes(docs, id_col, text_col, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Documents with their class, classes with their least id, and the component of each class that links."""
     members = _stored(_members(docs, id_col, text_col), "members")
     # Classes without tokens link with nothing, not even with each other.
     full = members.filter("n > 0")
@@ -555,12 +570,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if last:
             break
         postings = _stored(_gathered(left), "postings")
-    classes = _labelled(classes, labels)
-    least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = classes.join(least, "component").select("key", "component_id")
-    out = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"]
-    empty = members.filter("n = 0").withColumn("component_id", F.col("id"))
-    return full.join(named, "key").select(*out).unionAll(empty.select(*out))
+    return members, classes, labels
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
