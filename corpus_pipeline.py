@@ -14,26 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm import bpe, decontamination, jaccard_join, language_mixture, pii
-from lexiloom.llm.common import table
+from lexiloom.llm.common import BATCH, table
 from lexiloom.llm.queries import vocabulary_path
 from lexiloom.sources.scratch import scratch_path
 
 ORACLE_SQL = None
 
 
-#: Texts that a Python worker is handed at once, at most: what it and the JVM hold beside each other depends on it.
-BATCH = 1000
-
-
 def _in_small_batches(stage):
-    """The stage with Arrow batches that suit whole texts; a session that asks for smaller ones keeps them."""
+    """The stage with Arrow batches that suit whole texts, also when its rows are written later."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        asked = int(spark.conf.get(name))
-        if asked <= 0 or asked > BATCH:
-            spark.conf.set(name, str(BATCH))
+        for name, most in BATCH.items():
+            spark.conf.set(name, str(most))
         return stage(spark, docs, sf_dir)
 
     return run
