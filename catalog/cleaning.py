@@ -106,6 +106,41 @@ def detect_language_joined(spark, folder):
     return found.select("doc_id", "language")
 
 
+# Letters stand for these characters, and what is no letter goes: the same texts in a script without spaces.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_CHARACTERS = "".join(chr(0x4E00 + 61 * i) for i in range(len(_LETTERS)))
+_GOES = " .,;:!?\n\t"
+
+
+@query(
+    "detect_language_unspaced",
+    f"""WITH written AS (SELECT doc_id, lang,
+  translate(lower(text), '{_LETTERS}{_GOES}', '{_CHARACTERS}') AS text FROM documents),
+{S.detected('written', 'text', 'written')} SELECT doc_id, language FROM detected""",
+)
+def detect_language_unspaced(spark, folder):
+    """Languages of texts in a script without spaces."""
+    written = F.translate(F.lower("text"), _LETTERS + _GOES, _CHARACTERS)
+    docs = documents(spark, folder).withColumn("text", written)
+    return language.with_language(docs, language.language_profile(docs), "text").select("doc_id", "language")
+
+
+@query(
+    "language_accuracy",
+    f"""WITH known AS (SELECT * FROM documents WHERE doc_id % 2 = 0),
+{S.detected('documents', 'text', 'known')}
+SELECT lang, doc_id % 2 = 1 AS held_out, count(*) AS docs, count(*) FILTER (language = lang) AS found
+FROM documents JOIN detected USING (doc_id) GROUP BY ALL""",
+)
+def language_accuracy(spark, folder):
+    """Texts whose label was found, apart for those learnt from (even ids) and those held out."""
+    docs = documents(spark, folder)
+    found = language.with_language(docs, language.language_profile(docs.filter("doc_id % 2 = 0")), "text")
+    return found.groupBy("lang", (F.col("doc_id") % 2 == 1).alias("held_out")).agg(
+        F.count("*").alias("docs"), F.count_if(F.col("language") == F.col("lang")).alias("found")
+    )
+
+
 @query(
     "process_corpus",
     f"""WITH {S.POSTS}, {S.cleaned()}, {S.detected('cleaned', 'clean_text')}

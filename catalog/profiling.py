@@ -63,6 +63,30 @@ def category_cardinality(spark, folder):
     return profile.category_cardinality(table(spark, folder, "documents"), "source")
 
 
+@query(
+    "distinct_sketches",
+    """SELECT lang, count(DISTINCT text) AS texts, true AS within_error FROM documents GROUP BY lang
+UNION ALL SELECT 'all', count(DISTINCT text), true FROM documents""",
+)
+def distinct_sketches(spark, folder):
+    """Distinct texts from stored sketches of each source and language, merged and held against exact counts."""
+    docs = table(spark, folder, "documents")
+    path = scratch_path(spark, "sketches")
+    profile.distinct_sketches(docs, profile.text_digest(F.col("text")), "source", "lang").write.parquet(path)
+    stored = spark.read.parquet(path)
+    every = F.lit("all").alias("lang")
+    merged = profile.merged_distinct(stored, "lang").unionAll(profile.merged_distinct(stored, every))
+    # Equal texts of two languages are met again in the whole: counted in two steps, by text and by language.
+    kinds = docs.groupBy(profile.text_digest(F.col("text")).alias("digest")).agg(F.collect_set("lang").alias("langs"))
+    named = F.filter(F.concat("langs", F.array(F.lit("all"))), lambda x: x.isNotNull())
+    exact = (
+        kinds.filter("digest is not null").select(F.explode(named).alias("lang"))
+        .groupBy("lang").agg(F.count("*").alias("texts"))
+    )
+    near = F.abs(F.col("distinct_estimate") - F.col("texts")) <= F.ceil(profile.SKETCH_ERROR * F.col("texts"))
+    return exact.join(merged, "lang").select("lang", "texts", near.alias("within_error"))
+
+
 @query(
     "language_top10",
     """SELECT lang AS language, count(*) AS n,

@@ -91,14 +91,19 @@ def cleaned(source: str = "posts") -> str:
 
 
 def words(c: str) -> str:
-    return rf"unnest(regexp_extract_all(lower({c}), '[\p{{L}}]+'))"
+    """Runs of letters; characters and pairs of them in scripts without spaces."""
+    unspaced = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]"
+    runs = f"regexp_extract_all(lower({c}), '{unspaced}+')"
+    pairs = f"list_transform({runs}, lambda r: list_transform(generate_series(1, length(r) - 1), lambda i: substr(r, i, 2)))"
+    spaced = rf"regexp_extract_all(regexp_replace(lower({c}), '{unspaced}', ' ', 'g'), '[\p{{L}}]+')"
+    return f"unnest({spaced} || regexp_extract_all(lower({c}), '{unspaced}') || flatten({pairs}))"
 
 
-def detected(source: str, text: str) -> str:
-    """CTEs ending in ``detected(doc_id, language)`` for a source CTE or table."""
+def detected(source: str, text: str, labelled: str = "documents") -> str:
+    """CTEs ending in ``detected(doc_id, language)`` for a source CTE or table, learnt from a labelled one."""
     return f"""
 lang_counts AS (SELECT language, word, count(*) AS n FROM
-  (SELECT lang AS language, {words('text')} AS word FROM documents WHERE lang IS NOT NULL) GROUP BY ALL),
+  (SELECT lang AS language, {words('text')} AS word FROM {labelled} WHERE lang IS NOT NULL) GROUP BY ALL),
 lang_totals AS (SELECT language, sum(n) AS total FROM lang_counts GROUP BY language),
 lang_profile AS (SELECT language, word, round(ln(1 + n / total / 1e-6), 6) AS weight
   FROM lang_counts JOIN lang_totals USING (language)),

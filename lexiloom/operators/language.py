@@ -1,8 +1,10 @@
 """Language detection against a word profile learnt from labelled text.
 
-A profile holds the words of each language with a log weight over a common floor. A text scores the sum of the weights of its words; the best
-language wins, equal scores go to the first name, and a text with no profiled
-word is ``unknown``.
+A profile holds the words of each language with a log weight over a common floor.
+In scripts that put no space between words, the characters and pairs of
+neighbouring characters stand for words. A text scores the sum of the weights of
+its words; the best language wins, equal scores go to the first name, and a text
+with no profiled word is ``unknown``. Null and empty texts have no words.
 """
 
 from __future__ import annotations
@@ -15,21 +17,37 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexiloom.functions.binding import explode_once
+from lexiloom.functions.binding import explode_once, let
+from lexiloom.operators.tfidf import word_runs
 from lexiloom.plans.sizing import BROADCAST_ROWS
 
 # Fixed value: what invalid or undecidable text is labelled.
 UNKNOWN = "unknown"
-WORD = r"[\p{L}]+"
+# Scripts written without spaces between words.
+UNSPACED_SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
+_UNSPACED = "".join(rf"\p{{Is{name}}}" for name in UNSPACED_SCRIPTS)
+WORD = rf"[\p{{L}}&&[^{_UNSPACED}]]+"
+CHARACTER = f"[{_UNSPACED}]"
+PAIR = f"(?=({CHARACTER}{{2}}))"
 FLOOR = 1e-6
-# Words x languages that a task may hold as numbers.
-PROFILE_CELLS = 4_000_000
 DIGITS = 6
+# Scores are sums of whole numbers of these parts, the same in any order.
+_PARTS = 10**DIGITS
+# Texts x languages that a task scores at once.
+_CELLS = 1 << 20
 
 
 def words(text: Column) -> Column:
-    """Lower-cased runs of letters."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """Lower-cased runs of letters; characters and pairs of them where a script has no spaces."""
+
+    def found(lowered: Column) -> Column:
+        spaced, single, pairs = (
+            F.regexp_extract_all(lowered, F.lit(pattern), F.lit(group))
+            for pattern, group in ((WORD, 0), (CHARACTER, 0), (PAIR, 1))
+        )
+        return F.when(lowered.rlike(CHARACTER), F.concat(spaced, single, pairs)).otherwise(spaced)
+
+    return let(F.lower(text), found)
 
 
 def language_profile(
@@ -69,56 +87,81 @@ def with_language(
 ) -> DataFrame:
     """``df`` plus ``language``, which depends on the text alone.
 
-    A profile within the bound of rows and of words x languages goes to every
-    task and rows are scored where they are, without a shuffle. A larger one is
-    joined word by word with the distinct texts; both ways give the same rows.
+    A profile within the bound of rows goes to every task and rows are scored
+    where they are, without a shuffle. A larger one is joined with the distinct
+    words of the distinct texts; both ways give the same rows.
     """
     held = profile.limit(profile_bound + 1).select("language", "word", "weight").toArrow()
-    cells = len(pc.unique(held.column("word"))) * len(pc.unique(held.column("language")))
-    if held.num_rows <= profile_bound and cells <= PROFILE_CELLS:
+    if held.num_rows <= profile_bound:
         return df.withColumn("language", _classifier(df.sparkSession, held)(words(F.col(text_col))))
     return _joined(df, profile, text_col)
 
 
+class _Profile:
+    """The languages of each word and their weights, one word after the other."""
+
+    def __init__(self, profile: pa.Table):
+        names = pc.unique(profile.column("language").combine_chunks()).sort()
+        word = profile.column("word").combine_chunks()
+        self.words = pc.unique(word)
+        row = pc.index_in(word, value_set=self.words).to_numpy(zero_copy_only=False)
+        order = np.argsort(row, kind="stable")
+        self.edges = np.searchsorted(row[order], np.arange(len(self.words) + 1))
+        language = pc.index_in(profile.column("language").combine_chunks(), value_set=names)
+        self.language = language.to_numpy(zero_copy_only=False)[order]
+        weight = profile.column("weight").to_numpy()[order]
+        self.weight = np.rint(weight * _PARTS)
+        self.labels = np.array(names.to_pylist() + [UNKNOWN], dtype=object)
+
+    def best(self, lists: pa.Array) -> np.ndarray:
+        """The label of each list of words."""
+        n = len(self.labels) - 1
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        place = pc.index_in(lists.flatten(), value_set=self.words)
+        known = pc.is_valid(place).to_numpy(zero_copy_only=False)
+        place = place.drop_null().to_numpy(zero_copy_only=False)
+        text_of = np.repeat(np.arange(len(lists)), sizes)[known]
+        # Every word is met once for each of its languages.
+        times = self.edges[place + 1] - self.edges[place]
+        ends = np.cumsum(times)
+        entry = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.edges[place] - ends + times, times)
+        cell = np.repeat(text_of, times) * n + self.language[entry]
+        scores = np.bincount(cell, weights=self.weight[entry], minlength=len(lists) * n).reshape(len(lists), n)
+        if not n:
+            return self.labels[np.zeros(len(lists), dtype=np.int64)]
+        return self.labels[np.where(scores.max(axis=1) > 0, scores.argmax(axis=1), n)]
+
+
 def _classifier(spark: SparkSession, profile: pa.Table):
     """Arrow function from words to the best language."""
-    names = sorted(set(profile.column("language").to_pylist()))
-    vocabulary = pc.unique(profile.column("word").combine_chunks())
-    weights = np.zeros((len(vocabulary), max(1, len(names))))
-    row = pc.index_in(profile.column("word").combine_chunks(), value_set=vocabulary).to_numpy()
-    column = [names.index(name) for name in profile.column("language").to_pylist()]
-    weights[row, column] = profile.column("weight").to_numpy()
-    shared = spark.sparkContext.broadcast((vocabulary, weights, np.array(names + [UNKNOWN])))
+    shared = spark.sparkContext.broadcast(_Profile(profile))
 
     @F.arrow_udf("string")
     def classify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary, weights, labels = shared.value
+        held = shared.value
+        at_once = max(1, _CELLS // max(1, len(held.labels)))
         for lists in batches:
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            place = pc.index_in(lists.flatten(), value_set=vocabulary)
-            known = pc.is_valid(place).to_numpy(zero_copy_only=False)
-            place = place.drop_null().to_numpy(zero_copy_only=False)
-            text_of = np.repeat(np.arange(len(lists)), sizes)[known]
-            scores = np.column_stack(
-                [
-                    np.bincount(text_of, weights=weights[place, c], minlength=len(lists))
-                    for c in range(weights.shape[1])
-                ]
-            ).round(DIGITS)
-            best = np.where(scores.max(axis=1) > 0, scores.argmax(axis=1), len(labels) - 1)
-            yield pa.array(labels[best].tolist(), type=pa.string())
+            found = [held.best(lists.slice(at, at_once)) for at in range(0, len(lists), at_once)]
+            yield pa.array(np.concatenate(found).tolist() if found else [], type=pa.string())
 
     return classify
 
 
 def _joined(df: DataFrame, profile: DataFrame, text_col: str) -> DataFrame:
+    """Texts stay where they are: words move, once for each text and with their number."""
     digest = F.unhex(F.sha2(F.col(text_col), 256))
-    texts = df.select(digest.alias("__text"), text_col).dropDuplicates(["__text"])
+    counted = word_runs(words(F.col(text_col)))
+    met = (
+        explode_once(df, [digest.alias("__text")], counted, "run")
+        .select("__text", "run.term", "run.tf")
+        .dropDuplicates(["__text", "term"])
+        .withColumnRenamed("term", "word")
+    )
+    parts = F.round(F.col("weight") * _PARTS).cast("long")
     scores = (
-        explode_once(texts, ["__text"], words(F.col(text_col)), "word")
-        .join(profile, "word")
+        met.join(profile.select("language", "word", parts.alias("parts")), "word")
         .groupBy("__text", "language")
-        .agg(F.round(F.sum("weight"), DIGITS).alias("score"))
+        .agg(F.sum(F.col("parts") * F.col("tf")).alias("score"))
         .filter(F.col("score") > 0)
     )
     best = scores.groupBy("__text").agg(

@@ -59,6 +59,11 @@ def tokenize(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def term_runs(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Array of (term, tf) of a text, sorted by term, without stop words."""
+    return word_runs(terms(text), stop_words)
+
+
+def word_runs(words: Column, stop_words: Sequence[str] = ()) -> Column:
+    """Array of (term, tf) of an array of words, sorted by term, without stop words."""
     unwanted = pa.array(sorted(set(stop_words)), pa.string())
 
     @F.arrow_udf("array<struct<term: string, tf: bigint>>")
@@ -80,7 +85,7 @@ def term_runs(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> C
         runs = pa.StructArray.from_arrays([words.take(pa.array(term)), pa.array(tf)], names=["term", "tf"])
         return pa.ListArray.from_arrays(pa.array(offsets), runs)
 
-    return count(terms(text))
+    return count(words)
 
 
 def term_counts(

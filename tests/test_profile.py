@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators import perf, profile, reports
 from lexiloom.operators.cleaning import process_documents
-from lexiloom.operators.language import language_profile, with_language
+from lexiloom.operators.language import language_profile, with_language, words
 from lexiloom.sources.reports import write_report
 
 
@@ -115,6 +115,49 @@ def test_language_depends_on_the_text_alone(spark):
         ]
 
 
+UNSPACED = [
+    ("我们在北京的学校学习中文", "zh"), ("他们不喜欢在家里吃饭", "zh"), ("这是一本很好的书", "zh"),
+    ("私は学校で日本語を勉強します", "ja"), ("彼は本を読んでいます", "ja"), ("これは良い本です", "ja"),
+    ("ฉันเรียนภาษาไทยที่โรงเรียน", "th"), ("เขาชอบกินข้าวที่บ้าน", "th"),
+    ("the school is in the city", "en"),
+]
+
+
+def test_language_of_scripts_without_spaces(spark):
+    train = spark.createDataFrame(UNSPACED, "text STRING, lang STRING")
+    held = [(1, "我在学校吃饭", "zh"), (2, "私は本を読みます", "ja"), (3, "ฉันกินข้าว", "th"),
+            (4, "city 学", "en"), (5, "한국어", "unknown"), (6, "中", "zh"), (7, "我在学校吃饭", "zh"), (8, None, "unknown")]
+    df = spark.createDataFrame(held, "doc_id LONG, clean_text STRING, lang STRING")
+    for bound in (1000, 0):
+        got = with_language(df, language_profile(train), profile_bound=bound).collect()
+        assert {r.doc_id: r.language for r in got} == {i: lang for i, _, lang in held}
+
+
+def test_words_of_mixed_scripts(spark):
+    df = spark.createDataFrame([("Ab 北京x1 大",), ("no pairs",), ("",), (None,)], "t STRING")
+    got = [r.w for r in df.select(words(F.col("t")).alias("w")).collect()]
+    assert got == [["ab", "x", "北", "京", "大", "北京"], ["no", "pairs"], [], None]
+
+
+def test_language_of_a_long_text_and_many_languages(spark):
+    train = spark.range(600).selectExpr("concat('w', translate(id, '0123456789', 'abcdefghij')) AS text", "concat('l', id) AS lang")
+    df = spark.createDataFrame([(1, "wfb " * 400_000 + "wa"), (2, "wfjj")], "doc_id LONG, clean_text STRING")
+    for bound in (1000, 0):
+        got = with_language(df, language_profile(train), profile_bound=bound).collect()
+        assert {r.doc_id: r.language for r in got} == {1: "l51", 2: "l599"}
+
+
+def test_merged_sketches(spark):
+    df = spark.range(60_000).selectExpr("id % 7 AS day", "id % 20000 AS v", "CAST(NULL AS BIGINT) AS nothing")
+    states = profile.distinct_sketches(df, F.col("v"), "day")
+    estimate = profile.merged_distinct(states).first().distinct_estimate
+    assert abs(estimate - 20_000) <= profile.SKETCH_ERROR * 20_000
+    assert max(len(r.sketch) for r in states.collect()) <= (1 << profile.SKETCH_SIZE) + 64
+    empty = profile.distinct_sketches(df, F.col("nothing"), "day")
+    assert {r.distinct_estimate for r in profile.merged_distinct(empty, "day").collect()} == {0}
+    assert profile.merged_distinct(states.limit(0), "day").count() == 0
+
+
 def test_language_needs_no_shuffle(spark):
     train = spark.createDataFrame([("the cat", "en")], "text STRING, lang STRING")
     df = spark.range(5).selectExpr("id AS doc_id", "'the' AS clean_text")
