@@ -24,8 +24,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lexiloom.llm.common import give_back
+
 #: Entries remembered per task before a table starts anew.
-MEMORY = 150_000
+MEMORY = 50_000
 # Fixed value: the pre-tokenisation pattern of byte-level BPE.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
@@ -170,6 +172,7 @@ def digests(text: Column, path: str) -> Column:
             counts.append(len(ids) // 4)
             ids_hash.append(hashlib.sha256(ids).hexdigest())
             text_hash.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+        give_back()
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())],
             names=["n_tokens", "ids_sha256", "decoded_sha256"],
