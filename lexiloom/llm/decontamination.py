@@ -23,9 +23,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from lexiloom.llm.common import LETTERS, as_bytes
+from lexiloom.llm.common import LETTERS, as_bytes, give_back
 
 WINDOW = 10
 #: Benchmark bytes per automaton; at most about 200 bytes of memory each.
@@ -157,8 +156,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _matcher(shared):
-    @F.arrow_udf(_HITS)
+def _matcher(shared, cut: bool):
+    """Arrow function from texts and earlier hits to all hits; with ``cut``, ``rest`` is a hit text without them."""
+    span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
+    fields = [("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string()))]
+
+    @F.arrow_udf(_HITS.replace(">>, items", ">>, rest: string, items") if cut else _HITS)
     def match(texts: pa.Array, before: pa.Array) -> pa.Array:
         automaton, rows = shared.value, []
         for text, had in zip(as_bytes(texts), before.to_pylist()):
@@ -167,18 +170,19 @@ def _matcher(shared):
             if had:
                 spans = _merged(spans + [(x["start"], x["stop"]) for x in had["spans"]])
                 items |= set(had["items"])
-            rows.append(
-                {
-                    "n_words": len(tokens),
-                    "spans": [{"start": a, "stop": b} for a, b in spans],
-                    "items": sorted(items),
-                }
-            )
-        span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
-        kind = pa.struct(
-            [("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string()))]
-        )
-        return pa.array(rows, type=kind)
+            row = {
+                "n_words": len(tokens),
+                "spans": [{"start": a, "stop": b} for a, b in spans],
+                "items": sorted(items),
+            }
+            if cut:
+                row["rest"] = without_spans(text, spans).decode() if spans else None
+            rows.append(row)
+        kind = [*fields[:2], ("rest", pa.string()), fields[2]] if cut else fields
+        out = pa.array(rows, type=pa.struct(kind))
+        del rows
+        give_back()
+        return out
 
     return match.asNondeterministic()
 
@@ -223,19 +227,23 @@ def with_hits(
     out: str = "hits",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    cut: bool = False,
 ) -> DataFrame:
-    """``docs`` plus ``out``: ``n_words``, hit word ranges ``spans`` (stop exclusive), ``items``."""
+    """``docs`` plus ``out``: ``n_words``, hit word ranges ``spans`` (stop exclusive), ``items``.
+
+    With ``cut``, also ``rest``: the text without them, null where there are none.
+    """
     spark = docs.sparkSession
     hits: Column = F.lit(None).cast(_HITS)
     passes = 0
     for automaton in automata(items, window=window, block_bytes=block_bytes):
-        match = _matcher(spark.sparkContext.broadcast(automaton))
+        match = _matcher(spark.sparkContext.broadcast(automaton), cut)
         docs = docs.withColumn(out, match(F.col(text_col), hits))
         hits = F.col(out)
         passes += 1
     if not passes:
         empty = spark.sparkContext.broadcast(SuffixAutomaton([], window))
-        docs = docs.withColumn(out, _matcher(empty)(F.col(text_col), hits))
+        docs = docs.withColumn(out, _matcher(empty, cut)(F.col(text_col), hits))
     return docs
 
 
@@ -244,19 +252,13 @@ def n_hit(hits: Column) -> Column:
     return F.aggregate(hits["spans"], F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
 
 
-@F.arrow_udf(StringType())
-def without_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """Texts without the characters from the first to the last word of each range."""
-    out = []
-    for text, cut in zip(as_bytes(texts), spans.to_pylist()):
-        if cut:
-            where, kept, at = [m.span() for m in _WORD.finditer(text)], [], 0
-            for x in cut:
-                kept.append(text[at : where[x["start"]][0]])
-                at = where[x["stop"] - 1][1]
-            text = b"".join([*kept, text[at:]])
-        out.append(text)
-    return pa.array(out, type=pa.binary()).cast(pa.string())
+def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the characters from the first to the last word of each range."""
+    where, kept, at = [m.span() for m in _WORD.finditer(text)], [], 0
+    for start, stop in spans:
+        kept.append(text[at : where[start][0]])
+        at = where[stop - 1][1]
+    return b"".join([*kept, text[at:]])
 
 
 def decontaminate(
@@ -270,8 +272,8 @@ def decontaminate(
 
     Texts without hits stay as they are, null included.
     """
-    hits, part = F.col("__hits"), F.size("__hits.spans") > 0
-    found = with_hits(docs, items, text_col, "__hits", window)
+    hits = F.col("__hits")
+    # Texts are cut where they are matched: a second function would mean a second worker for each task.
+    found = with_hits(docs, items, text_col, "__hits", window, cut=True)
     kept = found.filter(n_hit(hits) <= max_coverage * hits["n_words"])
-    text = F.when(part, without_spans(F.col(text_col), hits["spans"])).otherwise(F.col(text_col))
-    return kept.withColumn(text_col, text).drop("__hits")
+    return kept.withColumn(text_col, F.coalesce(hits["rest"], F.col(text_col))).drop("__hits")
