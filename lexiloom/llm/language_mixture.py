@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import LETTERS, as_bytes, chunks
+from lexiloom.llm.common import LETTERS, as_bytes, chunks, give_back
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -187,6 +187,7 @@ def with_language(docs: DataFrame, model: MixtureModel, text_col: str = "text",
                 mix = [(model.names[i], float(row[i])) for i in np.flatnonzero(row > 0)]
                 rows.append((model.names[top], min(1.0, float(row[top])), mix, float(gains[at])))
                 at += 1
+            give_back()
         return pa.StructArray.from_arrays(
             [
                 pa.array([r[0] for r in rows], pa.string()),

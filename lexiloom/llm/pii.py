@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import LETTERS
+from lexiloom.llm.common import LETTERS, give_back
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -308,6 +308,9 @@ def masked(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else mask(t, find(t)[1]) for t in texts.to_pylist()], pa.string())
+        texts = (scalar.as_py() for scalar in texts)
+        out = pa.array([None if t is None else mask(t, find(t)[1]) for t in texts], pa.string())
+        give_back()
+        return out
 
     return run(text)
