@@ -12,7 +12,10 @@ report are read, so a lost executor leaves no wrong record behind.
 
 Cases: null html is an empty payload; a null id is never the record that others
 refer to; rows that repeat the largest id of a payload are all responses; a null
-url gives no target; no pages give no archives and no rows.
+url gives no target; no pages give no archives and no rows. Archives of other
+writers may hold several WARC members and indexes, packed or plain; records that
+are neither response nor revisit are passed over, and an id that is no page's is
+null.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -142,7 +146,7 @@ def write(records: DataFrame, folder: str) -> DataFrame:
 
 
 def directory(file: pa.NativeFile, size: int) -> dict[str, tuple[int, int]]:
-    """Data offset and size of every stored member, from the central directory."""
+    """Data offset and size of every stored member, from the central directory; compressed ones are left out."""
     start = max(0, size - TAIL)
     tail = file.read_at(size - start, start)
     end = tail.rfind(END)
@@ -177,6 +181,8 @@ def directory(file: pa.NativeFile, size: int) -> dict[str, tuple[int, int]]:
                 header = next(values) if header == 0xFFFFFFFF else header
             k += 4 + n
         at += 46 + n_name + n_extra + n_comment
+        if name.endswith("/"):
+            continue
         if method == 0 and not flags & 1 and packed == plain:
             local = file.read_at(30, header)
             if local[:4] != LOCAL:
@@ -188,6 +194,35 @@ def directory(file: pa.NativeFile, size: int) -> dict[str, tuple[int, int]]:
 _BLOCKS = "uri string, start bigint, lengths array<bigint>"
 
 
+def listed(file: pa.NativeFile, members: dict[str, tuple[int, int]]) -> list[tuple[int, int]]:
+    """Offset in the file and length of every record that the indexes of an archive name, in order.
+
+    An index is a stored member ``*.cdx`` or ``*.cdxj``; a line names its WARC member by path or base
+    name, or not at all where there is only one.
+    """
+    indexes = [m for m in members if m.lower().endswith((".cdx", ".cdxj"))]
+    warcs = {m: at for m, (at, _) in members.items() if m.lower().endswith((".warc", ".warc.gz"))}
+    if not indexes or not warcs:
+        raise ValueError(f"no stored index or no stored WARC member among {sorted(members)[:9]}")
+    by_base = {m.rsplit("/", 1)[-1]: at for m, at in warcs.items()}
+    out = set()
+    for index in indexes:
+        at, size = members[index]
+        for line in file.read_at(size, at).decode("utf-8", "replace").splitlines():
+            brace = line.find("{")
+            if brace < 0:
+                continue  # the heading of an index
+            place = json.loads(line[brace:])
+            name = place.get("filename")
+            start = warcs.get(name, by_base.get((name or "").rsplit("/", 1)[-1]))
+            if start is None:
+                if name or len(warcs) > 1:
+                    raise ValueError(f"index {index} names the member {name!r}, which is not stored")
+                start = next(iter(warcs.values()))
+            out.add((start + int(place["offset"]), int(place["length"])))
+    return sorted(out)
+
+
 def blocks(archives: DataFrame, uri_col: str = "uri") -> DataFrame:
     """Runs of consecutive records of about ``BLOCK`` bytes, from the indexes in the archives."""
 
@@ -196,22 +231,20 @@ def blocks(archives: DataFrame, uri_col: str = "uri") -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 system, path = _open(uri)
                 with system.open_input_file(path) as file:
-                    members = directory(file, file.size())
-                    start, _ = members[DATA]
-                    lines = file.read_at(members[INDEX][1], members[INDEX][0]).decode().splitlines()
-                places = [json.loads(line.split(" ", 2)[2]) for line in lines]
-                rows, at, lengths = [], 0, []
-                for place in sorted((int(p["offset"]), int(p["length"])) for p in places):
-                    if lengths and (sum(lengths) + place[1] > BLOCK or at + sum(lengths) != place[0]):
-                        rows.append((uri, start + at, lengths))
-                        lengths = []
+                    places = listed(file, directory(file, file.size()))
+                rows, at, size, lengths = [], 0, 0, []
+                for start, length in places:
+                    if lengths and (size + length > BLOCK or at + size != start):
+                        rows.append((uri, at, lengths))
+                        size, lengths = 0, []
                     if not lengths:
-                        at = place[0]
-                    lengths.append(place[1])
+                        at = start
+                    size += length
+                    lengths.append(length)
                 if lengths:
-                    rows.append((uri, start + at, lengths))
+                    rows.append((uri, at, lengths))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.list_(pa.int64())))],
+                    [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.list_(pa.int64())))],
                     names=["uri", "start", "lengths"],
                 )
 
@@ -226,7 +259,7 @@ def read(archives: DataFrame, uri_col: str = "uri", with_payload: bool = True) -
 
     def number(urn: str | None):
         digits = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(digits) if digits else None
+        return int(digits) if re.fullmatch("-?[0-9]+", digits) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,10 +269,14 @@ def read(archives: DataFrame, uri_col: str = "uri", with_payload: bool = True) -
                     data = file.read_at(sum(row["lengths"]), row["start"])
                 out, at = [], 0
                 for length in row["lengths"]:
-                    warc, http, payload = parse(zlib.decompress(data[at : at + length], 31))
+                    raw = data[at : at + length]
+                    warc, http, payload = parse(zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw)
                     at += length
                     kind = warc["warc-type"]
-                    digest = base64.b32decode(warc["warc-payload-digest"].removeprefix("sha1:")).hex()
+                    if kind not in ("response", "revisit"):
+                        continue
+                    stated = warc.get("warc-payload-digest", "").removeprefix("sha1:")
+                    digest = base64.b32decode(stated).hex() if stated else hashlib.sha1(payload).hexdigest()
                     if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
                         raise ValueError(f"damaged record {warc['warc-record-id']} in {row['uri']}")
                     out.append(
@@ -247,7 +284,7 @@ def read(archives: DataFrame, uri_col: str = "uri", with_payload: bool = True) -
                             "page_id": number(warc["warc-record-id"]),
                             "url": warc.get("warc-target-uri"),
                             "payload": payload if with_payload else None,
-                            "payload_bytes": int(http["content-length"]),
+                            "payload_bytes": int(http.get("content-length", len(payload))),
                             "payload_digest": digest,
                             "record_type": kind,
                             "refers_to": number(warc.get("warc-refers-to")),

@@ -1,6 +1,9 @@
 """Operators with shuffles: joins, models, archives and the pipeline."""
 
+import gzip
+import hashlib
 import io
+import json
 import random
 import zipfile
 
@@ -162,6 +165,38 @@ def test_directory_of_foreign_archives(comment, members):
     assert file.read_at(found["m1"][1], found["m1"][0]) == b"1"
 
 
+def _foreign(folder, lines, name="other.wacz"):
+    """An archive of another writer: two WARC members, one plain and one packed by record, and its index lines."""
+    one = warc_zip.record(1, "http://a", b"first", 5, hashlib.sha1(b"first").hexdigest(), None)
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x>\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    two = warc_zip.record(2, "http://b", b"second", 6, hashlib.sha1(b"second").hexdigest(), None).replace(b"urn:page:2", b"urn:uuid:ab")
+    packed = gzip.compress(two)
+    with zipfile.ZipFile(folder / name, "w") as z:
+        z.writestr("archive/", b"")
+        z.writestr("archive/a.warc", info + one)
+        z.writestr("archive/b.warc.gz", packed)
+        z.writestr("pages/pages.jsonl", b"{}", zipfile.ZIP_DEFLATED)
+        places = {"INFO": (0, len(info)), "ONE": (len(info), len(one)), "TWO": (0, len(packed))}
+        text = "!meta\n" + "".join(
+            f"com,a)/ 2020 {json.dumps({'offset': places[k][0], 'length': str(places[k][1]), 'filename': f})}\n" for k, f in lines
+        )
+        z.writestr("indexes/pages.cdx", text)
+    return str(folder / name)
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    uri = _foreign(tmp_path, [("INFO", "a.warc"), ("ONE", "a.warc"), ("TWO", "archive/b.warc.gz"), ("TWO", "b.warc.gz")])
+    out = warc_zip.read(spark.createDataFrame([(uri,)], "uri string")).collect()
+    assert sorted((r.page_id or 0, r.url, bytes(r.payload)) for r in out) == [(0, "http://b", b"second"), (1, "http://a", b"first")]
+    wrong = _foreign(tmp_path, [("ONE", "c.warc")], "wrong.wacz")
+    with pytest.raises(Exception, match="not stored"):
+        warc_zip.read(spark.createDataFrame([(wrong,)], "uri string")).collect()
+    with zipfile.ZipFile(tmp_path / "none.wacz", "w") as z:
+        z.writestr("indexes/index.cdxj", "")
+    with pytest.raises(Exception, match="no stored WARC member"):
+        warc_zip.read(spark.createDataFrame([(str(tmp_path / "none.wacz"),)], "uri string")).collect()
+
+
 def test_pipeline_stages(spark, folder):
     docs = common.table(spark, folder, "documents")
     rows = corpus_pipeline.run(spark, folder)
