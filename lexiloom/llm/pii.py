@@ -8,7 +8,9 @@ the plain text are always kept; normalisation only adds.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Work is row-local.
 Cases: null is empty text; an identifier found both ways counts once; repeated
-rows each get their result.
+rows each get their result; a table without rows gives none; other columns are
+not touched. An at between mere blanks counts only after a word that may name a
+mailbox and before a domain that ends in a known last label.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -129,6 +132,14 @@ _LOOK |= {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 _LOOK |= {chr(zero + d): str(d) for zero in (0x0660, 0x06F0, 0x0966, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6) for d in range(10)}
 # Mathematical letters: thirteen Latin alphabets of 52 letters.
 _LOOK |= {chr(0x1D400 + 52 * k + i): chr((65 if i < 26 else 71) + i) for k in range(13) for i in range(52)}
+# Circled, squared, raised and other forms that Unicode takes for one ASCII letter, digit or sign.
+for _block in (range(0x100, 0x3400), range(0xFB00, 0x10000), range(0x1F100, 0x1F200)):
+    for _c in map(chr, _block):
+        _plain = unicodedata.normalize("NFKC", _c)
+        if len(_plain) == 1 and (_plain.isalnum() or _plain in "@.+-_") and _plain.isascii():
+            _LOOK.setdefault(_c, _plain)
+# Squared and negative circled capitals have no such form; 26 in a row from each A.
+_LOOK |= {chr(first + i): chr(65 + i) for first in (0x1F150, 0x1F170) for i in range(26)}
 _LOOKALIKE = re.compile("[" + "".join(map(re.escape, _LOOK)) + "]")
 _NO_WIDTH = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]+")
 
@@ -139,14 +150,34 @@ _NAME = r"[A-Za-z0-9-]{1,63}"
 _BRACKET_DOT = rf"{_B}[\[({{<]{_B}(?:{_DOT}|\.){_B}[\])}}>]{_B}"
 # Last labels that, after a plain word "dot", tell a domain from prose.
 _LAST = "com|org|net|edu|gov|mil|info|biz|io|ai|app|dev|example|test|invalid|uk|de|fr|es|nl|eu|ca|au|jp|cn|br|mx|ch"
-# An at between brackets, as a character reference, or as a word before a domain with a dot in disguise.
+# An at between brackets, as a character reference, between underscores, or as a word before a domain with a dot in disguise.
 _AT_SIGN = re.compile(
     rf"{_B}[\[({{<]{_B}(?:at|@|arroba){_B}[\])}}>]{_B}|&#64;|&commat;|&#x40;"
+    rf"|_{{1,2}}at_{{1,2}}(?={_NAME}(?:_{{1,2}}dot_{{1,2}}{_NAME}){{1,9}})"
     rf"|{_S}(?:at|arroba){_S}(?={_NAME}(?:(?:\.|{_S}dot{_S}){_NAME})*(?:{_BRACKET_DOT}{_NAME}|{_S}dot{_S}(?:{_LAST})(?![A-Za-z0-9-])))",
     re.I,
 )
-_DOT_SIGN = re.compile(rf"(?<=[A-Za-z0-9])(?:{_BRACKET_DOT}|&#46;|&period;|&#x2e;|{_S}dot{_S})(?=[A-Za-z0-9])", re.I)
-_LOOSE_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_S}@{_B}|{_B}@{_S})(?={_NAME}\.[A-Za-z0-9])")
+_DOT_SIGN = re.compile(rf"(?<=[A-Za-z0-9])(?:{_BRACKET_DOT}|&#46;|&period;|&#x2e;|{_S}dot{_S}|_{{1,2}}dot_{{1,2}})(?=[A-Za-z0-9])", re.I)
+_LOOSE_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_S}@{_B}|{_B}@{_S})(?={_NAME}(?:\.{_NAME})*\.(?:{_LAST})(?![A-Za-z0-9-]))", re.I)
+# Words that stand before an at in prose, where a gap alone does not make them a mailbox.
+_PROSE = frozenset(
+    "i me you he him she her it we us they them this that these those all here there now today soon one ones out up down in on off or and"
+    " ask asked asks available book booked booking call came check find found get go going good hosted is look looked looking looks meet met"
+    " order page pages read register see seen shop shopping site sites sold speak start stay stop store talk time times visit was were work"
+    " works working".split()
+)
+
+
+def _at(m: re.Match) -> str | None:
+    """An at in disguise; between mere blanks it needs a word that may name a mailbox."""
+    if m[0].strip(" \t").lower() not in ("at", "arroba", "@"):
+        return "@"
+    before = m.string[max(0, m.start() - 64) : m.start()]
+    word = _LAST_WORD.search(before)
+    return "@" if word and word[0].lower() not in _PROSE else None
+
+
+_LAST_WORD = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 
 # Digit words of the languages, zero to nine.
 _SPELLED = {
@@ -195,7 +226,7 @@ def _may_disguise(text: str, low: str) -> bool:
     """Whether there is a bracket, a character reference, or the word dot."""
     if "(" in text or "[" in text or "{" in text or "<" in text:
         return True
-    return "&#" in text or "&c" in low or "&p" in low or " dot" in low or "\tdot" in low
+    return "&#" in text or "&c" in low or "&p" in low or " dot" in low or "\tdot" in low or "_dot" in low
 
 
 def _may_spell(text: str, low: str) -> bool:
@@ -219,9 +250,9 @@ def _may_spell(text: str, low: str) -> bool:
 STEPS: tuple[tuple[Callable[[str, str], bool], re.Pattern, Callable[[re.Match], str | None]], ...] = (
     (_may_look_alike, _NO_WIDTH, lambda m: ""),
     (_may_look_alike, _LOOKALIKE, lambda m: _LOOK[m[0]]),
-    (_may_disguise, _AT_SIGN, lambda m: "@"),
+    (_may_disguise, _AT_SIGN, _at),
     (_may_disguise, _DOT_SIGN, lambda m: "."),
-    (lambda text, low: "@" in text, _LOOSE_AT, lambda m: "@"),
+    (lambda text, low: "@" in text, _LOOSE_AT, _at),
     (_may_spell, _DIGITS, _spelled),
     (lambda text, low: "plus" in low, _PLUS, lambda m: "+"),
 )
