@@ -1,10 +1,11 @@
 """Quality rules at host level.
 
 Each document is measured and tested by rules. Failures are counted per host
-and rule, and the rates of small hosts are shrunk towards a beta prior whose
-two parameters come from the mean and spread of all hosts' rates (method of
-moments). A host whose shrunk rate passes the limit for some rule is rejected,
-and its verdict is joined back to its documents.
+and rule, and the rate of a host is shrunk towards a beta prior whose two
+parameters come from the mean and spread of all hosts' rates (method of moments). A host is rejected if for some rule its shrunk rate passes an absolute
+limit, or if most of its documents fail and its rate stands out: the rate less
+``SURE`` posterior deviations is above what the other hosts' mean and ``APART``
+of their deviations allow. The verdict is joined back to its documents.
 
 Measures are written once to the shared folder. Only counts are shuffled for
 the rates (combined before the shuffle). The join back has rejected hosts on
@@ -12,8 +13,9 @@ one side only and a handful of numbers per document on the other, so a host
 with a third of all rows is split by the engine's skew handling or broadcast.
 
 Cases: null and empty texts have no words and fail; a null host is a host of
-its own; repeated rows count each; no rows give no rows; with one host, or
-equal rates, the prior is that of the mean with a weight of one document.
+its own; repeated rows count each; no rows give no rows; with one host, or equal
+rates, the prior is that of the mean with a weight of one document; with one host
+only the absolute limit counts; a rate equal to a limit (a tie) passes. Columns beyond those asked for are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ MAX_REPEATED = 30
 WINDOW = 8
 #: A host goes if its shrunk failure rate for a rule is above this.
 MAX_RATE = 0.9
+#: It also goes above this rate if it stands out from the others by so many deviations, its own and theirs.
+MOST, SURE, APART = 0.5, 2.0, 3.0
 SYMBOLS = b"#*$%&|<>"
 
 _MEASURES = "struct<n_words: bigint, word_chars: bigint, n_symbols: bigint, n_dup_lines: bigint, n_repeat_words: bigint>"
@@ -107,25 +111,37 @@ def rules(m: Column) -> dict[str, Column]:
 
 
 def shrunk_rates(counts: DataFrame, host: str, n: str, failures: list[str]) -> DataFrame:
-    """Posterior failure rate per host for each column of failures.
+    """A row per host and rule: ``rate`` (posterior mean), ``sd``, and the ``limit`` that the other hosts set.
 
     The prior's mean is the mean of the hosts' rates and its weight comes from
-    their variance beyond what sampling explains.
+    their variance beyond what sampling explains. The limit uses the mean and
+    variance of the other hosts: sums over all less the host's own share.
     """
-    stats = []
+    sums = [F.count("*"), F.sum(1 / F.col(n))]
     for f in failures:
         rate = F.col(f) / F.col(n)
-        stats += [F.avg(rate), F.var_pop(rate), F.avg(1 / F.col(n))]
-    values = counts.agg(*stats).first()  # one row, three numbers per rule
-    out = [F.col(host)]
+        sums += [F.sum(rate), F.sum(rate * rate)]
+    hosts, noise, *rest = (float(v or 0) for v in counts.agg(*sums).first())  # one row: two numbers and two per rule
+    rules = []
     for i, f in enumerate(failures):
-        mean, var, noise = (v or 0.0 for v in values[3 * i : 3 * i + 3])
+        total, square = rest[2 * i : 2 * i + 2]
+        mean = total / hosts if hosts else 0.0
         # A beta distribution's variance is mean * (1 - mean) / (weight + 1).
         spread = mean * (1 - mean)
-        excess = var - spread * noise
-        weight = max(1.0, spread / excess - 1) if excess > 0 else 1.0
-        out.append(((F.col(f) + mean * weight) / (F.col(n) + weight)).alias(f))
-    return counts.select(*out)
+        excess = square / hosts - mean * mean - spread * noise / hosts if hosts else 0.0
+        weight = max(1.0, spread / excess - 1) if excess > 1e-12 else 1.0
+        numbers = {"mean": mean, "weight": weight, "total": total, "square": square}
+        rules.append(F.struct(F.lit(f).alias("rule"), F.col(f).alias("f"), *(F.lit(v).alias(k) for k, v in numbers.items())))
+    rows = counts.select(F.col(host), F.col(n).alias("n"), F.explode(F.array(*rules)).alias("r")).select(host, "n", "r.*")
+    rows = rows.withColumn("rate", (F.col("f") + F.col("mean") * F.col("weight")) / (F.col("n") + F.col("weight")))
+    sd = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("weight") + 1))
+    if hosts < 2:
+        return rows.select(host, "rule", "rate", sd.alias("sd"), F.lit(1.0).alias("limit"))
+    own = F.col("f") / F.col("n")
+    rows = rows.withColumn("centre", F.greatest(F.lit(0.0), (F.col("total") - own) / (hosts - 1)))
+    apart = F.sqrt(F.greatest(F.lit(0.0), (F.col("square") - own * own) / (hosts - 1) - F.col("centre") * F.col("centre")))
+    limit = F.greatest(F.lit(MOST), F.col("centre") + APART * apart)
+    return rows.select(host, "rule", "rate", sd.alias("sd"), limit.alias("limit"))
 
 
 def judge(
@@ -145,8 +161,9 @@ def judge(
         F.count("*").alias("__n"), *[F.sum(c.cast("long")).alias(k) for k, c in failed.items()]
     )
     rates = shrunk_rates(counts, "__host", "__n", list(failed))
-    rejected = rates.filter(F.greatest(*[F.col(k) for k in failed]) > max_rate).select(
-        F.col("__host").alias("__bad"), F.lit(True).alias("__hit")
+    outside = (F.col("rate") > max_rate) | (F.col("rate") - SURE * F.col("sd") > F.col("limit"))
+    rejected = (
+        rates.groupBy(F.col("__host").alias("__bad")).agg(F.bool_or(outside).alias("__hit")).filter("__hit")
     )
     base = failed["few_words"] | failed["repeats"]
     return (

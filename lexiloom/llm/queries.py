@@ -126,6 +126,49 @@ def op7_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.judge(table(spark, folder, "documents"))
 
 
+def _hosts_sql() -> str:
+    """The measures by their definitions, the verdict by the formulas of the rule module."""
+    failed = {
+        "few": f"n_words < {host_rules.MIN_WORDS}",
+        "repeats": f"100 * n_repeat_words > {host_rules.MAX_REPEATED} * n_words",
+        "symbols": "10 * n_symbols > word_chars",
+        "lines": "n_dup_lines > 3 AND 10 * n_dup_lines > n_words",
+    }
+    counts = ", ".join(f"count(*) FILTER ({c}) AS {k}" for k, c in failed.items())
+    steps, verdict = [], []
+    for k in failed:
+        steps.append(f"""mean_{k} AS (SELECT h, n, hosts, {k} AS f, {k} / n AS own, sum({k} / n) OVER () AS total,
+  sum(({k} / n) * ({k} / n)) OVER () AS square, sum(1 / n) OVER () AS noise FROM hosts),
+prior_{k} AS (SELECT *, total / hosts AS m, (1 - total / hosts) * total / hosts AS spread FROM mean_{k}),
+excess_{k} AS (SELECT *, square / hosts - m * m - spread * noise / hosts AS excess FROM prior_{k}),
+weight_{k} AS (SELECT *, CASE WHEN excess > 1e-12 THEN greatest(1.0, spread / excess - 1) ELSE 1.0 END AS w FROM excess_{k}),
+rate_{k} AS (SELECT *, (f + m * w) / (n + w) AS r, (total - own) / (hosts - 1) AS c,
+  (square - own * own) / (hosts - 1) AS sq FROM weight_{k})""")
+        verdict.append(f"""SELECT h FROM rate_{k} WHERE r > {host_rules.MAX_RATE} OR hosts > 1 AND r - {host_rules.SURE} * sqrt(r * (1 - r) / (n + w + 1))
+  > greatest({host_rules.MOST}, c + {host_rules.APART} * sqrt(greatest(0.0, sq - c * c)))""")
+    return rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+windows AS (SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM w)),
+twice AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM windows),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(8)) AS k FROM twice WHERE c > 1) GROUP BY rid),
+lines AS (SELECT rid, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+measured AS MATERIALIZED (SELECT doc_id, source, CAST(len(w.w) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d JOIN w USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)),
+hosts AS MATERIALIZED (SELECT source AS h, CAST(count(*) AS DOUBLE) AS n, count(*) OVER () AS hosts, {counts} FROM measured GROUP BY source),
+{", ".join(steps)},
+bad AS ({" UNION ".join(verdict)}),
+judged AS (SELECT measured.*, n_words < {host_rules.MIN_WORDS} OR {failed["repeats"]} AS base_failed,
+  EXISTS (SELECT 1 FROM bad WHERE h IS NOT DISTINCT FROM source) AS host_rejected FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rejected,
+  NOT base_failed AND NOT host_rejected AS kept FROM judged
+"""
+
+
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = docs.select("doc_id", licences.licences(F.col("text")).alias("found"))
@@ -247,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op4_warc": OP4_SQL,
+    "op7_hosts": _hosts_sql(),
     "op11_collocations": OP11_SQL,
     "op13_codes": _codes_sql(),
 }

@@ -206,7 +206,7 @@ def test_pipeline_stages(spark, folder):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near duplicates", "benchmark", "personal data", "encoding"]
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination", "op4_warc"])
+@pytest.mark.parametrize("name", ["op2_decontamination", "op4_warc", "op7_hosts"])
 def test_oracles(spark, folder, name):
     import check
 

@@ -180,6 +180,46 @@ def test_hosts(spark):
     assert host_rules.judge(empty).count() == 0
 
 
+def host_rows(rates, good, bad, n=100):
+    """Documents of hosts that fail a rule at the given rates."""
+    return [(1000 * h + i, bad if i < rate * n else good, f"h{h}") for h, rate in enumerate(rates) for i in range(n)]
+
+
+def verdicts(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_words", F.lit(-1))
+    out = host_rules.judge(docs, keep=("doc_id", "source")).collect()
+    return {r.source for r in out if r.host_rejected}, out
+
+
+def test_hosts_are_compared_with_each_other(spark):
+    """A host that fails far more often than the others goes, its good documents with it; with such others it stays."""
+    good, bad = " ".join(f"w{i}" for i in range(30)), " ".join(f"#$%&{k}" for k in range(30))
+    low = [0.02, 0.0, 0.05, 0.03, 0.01]
+    rejected, out = verdicts(spark, host_rows([*low, 0.8], good, bad))
+    assert rejected == {"h5"} and sum(not r.kept and not r.base_failed for r in out if r.source == "h5") == 100
+    assert all(r.kept for r in out if r.source != "h5")
+    assert verdicts(spark, host_rows([*low, 0.4], good, bad))[0] == set()  # stands out, but most documents are good
+    assert verdicts(spark, host_rows([0.7, 0.8, 0.6, 0.85, 0.65, 0.8], good, bad))[0] == set()  # no worse than the others
+    assert verdicts(spark, host_rows([*low, 1.0], good, bad, n=2))[0] == set()  # two documents prove little
+    assert verdicts(spark, host_rows([0.8], good, bad))[0] == set() and verdicts(spark, host_rows([1.0], good, bad))[0] == {"h0"}
+
+
+def test_a_rate_equal_to_the_limit_passes(spark):
+    good = " ".join(f"w{i}" for i in range(30))
+    bad = " ".join(f"#$%&{k}" for k in range(30))
+    assert verdicts(spark, host_rows([0.9], good, bad))[0] == set()  # one host: the rate is that of the mean
+    assert verdicts(spark, host_rows([0.91], good, bad))[0] == {"h0"}
+
+
+def test_measures_of_a_very_long_text(spark):
+    text = "\n".join(f"line {i % 7} of a long text with words {i}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text, None), (1, text, None)], "doc_id long, text string, source string")
+    rows = host_rules.judge(docs).collect()
+    words = text.split()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0].n_words == len(words) and rows[0].n_dup_lines == 0
+    assert rows[0].word_chars == sum(map(len, words)) and rows[0].n_repeat_words == 8 * 60_000
+
+
 def test_licences():
     text = "Intro here.\n" + licences.SENTENCES["gpl-free"] + ".\nMy note.\n" + licences.SENTENCES["gpl-hope"] + ".\nReleased under the MIT License."
     _, ids, found = licences.scan(text)
