@@ -119,3 +119,24 @@ def test_no_documents_and_no_terms(spark):
     assert TfidfIndex.build(docs).search(queries).collect() == []
     assert TfidfIndex.build(docs.limit(0)).search(queries).collect() == []
     assert Counter(r.doc_id for r in TfidfIndex.build(docs).postings.collect()) == {}
+
+
+def test_passes_ask_equal_texts_once_and_weigh_postings_once(spark, monkeypatch):
+    rows = corpus(90, 5)
+    asked = [(i, rows[i % 12][1]) for i in range(60)] + [(500, rows[0][1]), (500, rows[1][1]), (None, rows[2][1]), (501, None)]
+    docs, queries = frames(spark, rows, asked)
+    index = TfidfIndex.build(docs)
+    want = sorted(map(str, index.search(queries).collect()))
+    counted, weighed = [], []
+    monkeypatch.setattr(tfidf, "BROADCAST_CHARS", 1500)
+    monkeypatch.setattr(tfidf, "chars_within", lambda *_: False)
+    search = TfidfIndex._searched
+
+    def searched(self, frame, asked, *rest):
+        counted.append(len(asked.column("query_id").unique()))
+        return search(self, frame, asked, *rest)
+
+    monkeypatch.setattr(TfidfIndex, "_searched", searched)
+    monkeypatch.setattr(tfidf, "kept", lambda f, n, real=tfidf.kept: weighed.append(n) or real(f, n))
+    assert sorted(map(str, index.search(queries).collect())) == want
+    assert len(counted) > 1 and sum(counted) == 13 and weighed.count("postings") == 1
