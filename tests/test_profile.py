@@ -185,3 +185,21 @@ def test_published_rollup_shape(spark):
     got = {r.model_name: r for r in perf.embedding_rollup(df).collect()}
     assert (got["m"].num_chunks, got["m"].total_time_sec) == (510, 24.64)
     assert got["m"].avg_time_per_chunk_sec == round(24.642 / 510, 6)
+
+
+def test_words_held_decide_most_texts_and_the_others_are_joined(spark, monkeypatch):
+    from lexiloom.operators import language
+
+    rows = [("the cat sat on the mat rare%d" % (i % 7), "en") for i in range(40)]
+    rows += [("le chat est sur le tapis seul%d" % (i % 7), "fr") for i in range(40)] + [("the le both", "xx"), ("abc once", "xx")]
+    train = spark.createDataFrame(rows, "text STRING, lang STRING")
+    texts = ["the cat", "le chat the", "once", "the once once once", "both", "seul on", "nothing", None, "le le the", "the le"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(50, "once")], "doc_id LONG, clean_text STRING")
+    profile = language_profile(train)
+    want = {r.doc_id: r.language for r in with_language(df, profile).collect()}
+    joined, real = [], language._joined
+    monkeypatch.setattr(language, "_joined", lambda d, *rest: joined.append(d.count()) or real(d, *rest))
+    for bound in (0, 3, 6, 9, profile.count() - 1):
+        got = {r.doc_id: r.language for r in with_language(df, profile, profile_bound=bound).collect()}
+        assert got == want
+    assert joined[0] == 11 and joined[-1] < 8
