@@ -140,3 +140,17 @@ def test_passes_ask_equal_texts_once_and_weigh_postings_once(spark, monkeypatch)
     monkeypatch.setattr(tfidf, "kept", lambda f, n, real=tfidf.kept: weighed.append(n) or real(f, n))
     assert sorted(map(str, index.search(queries).collect())) == want
     assert len(counted) > 1 and sum(counted) == 13 and weighed.count("postings") == 1
+
+
+def test_the_salted_join_moves_postings_of_asked_terms_only(spark, monkeypatch):
+    docs, queries = frames(spark, corpus(120, 7), [(1, "w1 w2 w30"), (2, "w3 w150"), (3, "unknown")])
+    want = rows_of(TfidfIndex.build(docs).search(queries))
+    for terms_held in (10**6, 10):
+        monkeypatch.setattr(tfidf, "VOCABULARY_TERMS", terms_held)
+        index, moved, real = TfidfIndex.build(docs), [], TfidfIndex._summed
+        monkeypatch.setattr(TfidfIndex, "_summed", lambda self, p, q, real=real: moved.append(self) or real(self, p, q))
+        assert (index.raw is None) == (terms_held > 10)
+        assert rows_of(index.search(queries, broadcast_queries=False)) == want and moved
+        met = index._asked_postings(index.query_weights(queries, "query_id", "query"))
+        assert {r.term for r in met.select("term").distinct().collect()} <= {"w1", "w2", "w30", "w3", "w150"}
+        monkeypatch.setattr(TfidfIndex, "_summed", real)
