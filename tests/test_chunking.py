@@ -165,3 +165,16 @@ def test_a_text_of_five_million_characters(apply):
     got = split(apply, text)
     assert len(got) == sum(1 for _ in chunk_ranges(piece_lengths(text, 1000, SEPARATORS), 1000, 100))
     assert all(len(c) <= 1000 for c in got) and got[-1] == text[-len(got[-1]) :]
+
+
+def test_registered_queries_bound_the_arrow_batches(spark, folder):
+    from catalog import QUERIES
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        QUERIES["chunk_counts"](spark, folder)
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, before)
