@@ -19,8 +19,12 @@ Layout for large data:
   links merge components, and lists with one component left are done. Once
   pairs of different components are few for the postings left, or a round finds
   nothing new, all of them are compared, so no link is lost.
-* Postings carry 128 parities of their set. Sets differ in at least as many
-  members as parities, so pairs too far apart go before sets are made.
+* A class has 1,024 parities of its set. Sets differ in at least as many members
+  as parities, so pairs too far apart go before sets are made.
+* Classes are numbered, and postings of the rounds hold numbers only; parities
+  join distinct pairs, and folded to 256 the postings that make all pairs.
+* Tokens are counted by their upper bits, 32 within a range, so a token takes
+  four bytes; one in some 8,000 passes for shared without being so.
 * Rounds are written to the shared folder, which cuts lineage.
 
 Cases: null, empty and blank texts have no tokens, link with nothing and are
@@ -33,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +59,8 @@ ROUNDS = 3
 PAIRS_PER_POSTING = 4
 #: Tokens that are counted together.
 RANGE = 1 << 19
+#: Words of 64 parities that tell the sets of a pair apart, and those they are folded to where pairs are made.
+PARITIES, FOLDED = tuple(f"p{i}" for i in range(16)), tuple(f"q{i}" for i in range(4))
 #: Bits of a membership table per entry, and at most.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 28
 
@@ -96,13 +103,13 @@ class Sets:
         return [both[16 * i : 16 * i + 16] for i in range(len(self))]
 
     def parities(self) -> np.ndarray:
-        """Two words of 64 bits for each set; a bit is the parity of the members that fall on it."""
-        spots, out = mix(self.tokens ^ _ODD[0]), np.zeros((2, len(self)), dtype=np.uint64)
-        for half in range(2):
-            own = (spots >> np.uint64(6)) & np.uint64(1) == half
+        """Words of 64 bits for each set; a bit is the parity of the members that fall on it."""
+        spots, out = mix(self.tokens ^ _ODD[0]), np.zeros((len(PARITIES), len(self)), dtype=np.uint64)
+        for word in range(len(PARITIES)):
+            own = (spots >> np.uint64(6)) % np.uint64(len(PARITIES)) == word
             bits = np.where(own, np.uint64(1) << (spots & np.uint64(63)), np.uint64(0))
             sums = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)))
-            out[half] = sums[self.edges[1:]] ^ sums[self.edges[:-1]]
+            out[word] = sums[self.edges[1:]] ^ sums[self.edges[:-1]]
         return out.view(np.int64)
 
     def shared_firsts(self, order: Order, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,14 +133,17 @@ class Order:
     ``bits`` tell which tokens several documents have, and ``steps`` hold the
     doublings of their frequency by hash field. Both have a size that is fixed
     by their limits; when they are full, more tokens pass for shared or
-    frequent, which changes the order but no result.
+    frequent, which changes the order but no result. Both go by the bits of a
+    token above the lowest ``dropped``, scrambled.
     """
 
     bits: np.ndarray
     steps: np.ndarray
+    dropped: int
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
-        return np.where(_held(self.bits, tokens), self.steps[(tokens & _FIELD).astype(np.int64)] + 1, 0)
+        seen = mix(tokens >> np.uint64(self.dropped))
+        return np.where(_held(self.bits, seen), self.steps[(seen & _FIELD).astype(np.int64)] + 1, 0)
 
 
 def _runs(words: np.ndarray, n: int) -> np.ndarray:
@@ -240,11 +250,11 @@ def _members(docs, id_col, text_col) -> DataFrame:
 def _order(docs, id_col, text_col, classes: DataFrame, wanted) -> Order:
     """From the number of classes of every token, counted on one document of each.
 
-    Tasks send sorted runs of tokens to ranges of the hash, which keeps a token
-    at eight bytes; a range has about ``RANGE`` tokens.
+    Tasks send sorted runs of tokens to ranges of the hash. A range has ``RANGE``
+    tokens or somewhat fewer, which 32 bits tell apart but for few.
     """
     total = classes.agg(F.sum("n")).first()[0] or 0
-    ranges = np.uint64(max(1, -(-total // RANGE)))
+    dropped = 32 - min(32, max(0, -(-total // RANGE) - 1).bit_length())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -252,22 +262,23 @@ def _order(docs, id_col, text_col, classes: DataFrame, wanted) -> Order:
             held.append(sets.tokens)
             size += len(sets.tokens)
             if size >= 2 * RANGE:
-                yield _token_runs(held, ranges)
+                yield _token_runs(held, dropped)
                 held, size = [], 0
         if size:
-            yield _token_runs(held, ranges)
+            yield _token_runs(held, dropped)
         held.clear()
         give_back()
 
     def count(runs: pa.Table) -> pa.Table:
-        tokens = np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in runs.column("tokens").to_pylist()])
+        tokens = np.concatenate([np.frombuffer(t, dtype=np.uint32) for t in runs.column("tokens").to_pylist()])
         counts = np.concatenate([np.frombuffer(c, dtype=np.uint32) for c in runs.column("counts").to_pylist()])
         order = np.argsort(tokens, kind="stable")
         tokens, counts = tokens[order], counts[order].astype(np.int64)
         starts = np.concatenate(([0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1))
         n = np.add.reduceat(counts, starts)
         several = n > 1
-        return pa.table({"token": tokens[starts[several]].view(np.int64), "n": n[several]})
+        shared = mix(np.uint64(runs.column("at")[0].as_py() << 32) | tokens[starts[several]].astype(np.uint64))
+        return pa.table({"token": shared.view(np.int64), "n": n[several]})
 
     sent = _read(docs, id_col, text_col, wanted).mapInArrow(send, "at bigint, tokens binary, counts binary")
     shared = _stored(sent.groupBy("at").applyInArrow(count, "token bigint, n bigint"), "tokens")
@@ -275,16 +286,16 @@ def _order(docs, id_col, text_col, classes: DataFrame, wanted) -> Order:
     rows = shared.groupBy(field).agg(F.max("n").alias("n")).toArrow()  # FIELDS rows at most
     steps = np.zeros(FIELDS, dtype=np.uint8)
     steps[rows.column("at").to_numpy()] = np.log2(rows.column("n").to_numpy()).astype(np.uint8)
-    return Order(_bits(shared, "token")[0], steps)
+    return Order(_bits(shared, "token")[0], steps, dropped)
 
 
-def _token_runs(held: list[np.ndarray], ranges: np.uint64) -> pa.RecordBatch:
-    """Distinct tokens and their counts, a row for each range of the hash."""
-    tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-    at = ((tokens >> np.uint64(32)) * ranges >> np.uint64(32)).astype(np.int64)
+def _token_runs(held: list[np.ndarray], dropped: int) -> pa.RecordBatch:
+    """Distinct tokens without their lowest bits, and their counts, a row for each range of the hash."""
+    tokens, counts = np.unique(np.concatenate(held) >> np.uint64(dropped), return_counts=True)
+    at = (tokens >> np.uint64(32)).astype(np.int64)
     starts = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
     ends, counts = np.append(starts[1:], len(at)), counts.astype(np.uint32)
-    columns = [pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in (tokens, counts)]
+    columns = [pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in (tokens.astype(np.uint32), counts)]
     return pa.RecordBatch.from_arrays([pa.array(at[starts]), *columns], names=["at", "tokens", "counts"])
 
 
@@ -335,8 +346,8 @@ def _first_half(key: str) -> Column:
     return out
 
 
-def _postings(docs, id_col, text_col, shared, wanted, percent: int) -> DataFrame:
-    """(class, n, parities, its prefix tokens that other classes may have, with their places), a row for each class."""
+def _postings(docs, id_col, text_col, classes: DataFrame, shared, wanted, percent: int) -> DataFrame:
+    """(node, n, parities, its prefix tokens that other classes may have, with their places), a row for each class."""
 
     def postings(ids, sets, _):
         of, tokens, places = sets.shared_firsts(shared.value, percent)
@@ -348,22 +359,24 @@ def _postings(docs, id_col, text_col, shared, wanted, percent: int) -> DataFrame
         columns = [sets.sizes[some], *sets.parities()[:, some]]
         return pa.RecordBatch.from_arrays(
             [pa.array(sets.keys(), pa.binary()).take(pa.array(some)), *map(pa.array, columns), pa.ListArray.from_arrays(offsets, pairs)],
-            names=["key", "n", "x", "y", "firsts"],
+            names=["key", "n", *PARITIES, "firsts"],
         )
 
-    schema = "key binary, n bigint, x bigint, y bigint, firsts array<struct<token: bigint, place: bigint>>"
-    return _mapped(docs, id_col, text_col, schema, postings, wanted).dropDuplicates(["key"])
+    words = ", ".join(f"{p} bigint" for p in PARITIES)
+    schema = f"key binary, n bigint, {words}, firsts array<struct<token: bigint, place: bigint>>"
+    made = _mapped(docs, id_col, text_col, schema, postings, wanted).dropDuplicates(["key"])
+    return made.join(classes.select("key", "node"), "key").drop("key")
 
 
 def _lists(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
     """A row for each prefix token of a class, with its component; labels are joined once for a class."""
-    return _labelled(classes, labels).select("*", F.inline("firsts")).drop("firsts")
+    return _labelled(classes.select("node", "n", "firsts"), labels).select("node", "n", "component", F.inline("firsts"))
 
 
 def _gathered(postings: DataFrame) -> DataFrame:
     """Back to a row for each class; a prefix bounds the array."""
     firsts = F.collect_list(F.struct("token", "place")).alias("firsts")
-    return postings.groupBy("key", "n", "x", "y").agg(firsts)
+    return postings.groupBy("node", "n").agg(firsts)
 
 
 def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
@@ -396,8 +409,9 @@ def _sets(docs, id_col, text_col, needed: DataFrame) -> DataFrame:
 
 def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The components (a, b) of the pairs of classes that link."""
-    both = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(docs, id_col, text_col, _stored(both.join(classes, "key"), "needed"))
+    both = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = _stored(both.join(classes, "node"), "needed")
+    sets = _sets(docs, id_col, text_col, needed).join(needed.select("key", "node"), "key")
 
     @F.arrow_udf("boolean")
     def test(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -409,15 +423,15 @@ def _verified(docs, id_col, text_col, classes: DataFrame, pairs: DataFrame, perc
 
     # Leaders, which have many pairs, come first; then the pairs are spread by the other end.
     met = (
-        pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
-        .join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
+        pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
+        .join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
         .select("ca", "cb", test.asNondeterministic()(F.col("x"), F.col("y")).alias("ok"))
     )
     return met.filter("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(key, component) for the nodes of undirected ``edges`` (a, b); a component is its least node.
+    """(node, component) for the nodes of undirected ``edges`` (a, b); a component is its least node.
 
     Alternating star contraction: each round hangs neighbours below the least
     one around, and the edges are written out; it ends once they are stars: no
@@ -443,14 +457,14 @@ def connected(edges: DataFrame) -> DataFrame:
         ends = edges.select(F.explode(ends).alias("n"))
         nodes = ends.groupBy("n.a").agg(F.sum("n.up").alias("up"), F.min("n.up").alias("low"))
         if nodes.filter("up > 1 or (up = 1 and low = 0)").isEmpty():
-            return edges.select(F.col("a").alias("key"), F.col("b").alias("component"))
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
 def _labelled(frame: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
-        return frame.withColumn("component", F.col("key"))
+        return frame.withColumn("component", F.col("node"))
     found = labels.withColumnRenamed("component", "c")
-    return frame.join(found, "key", "left").withColumn("component", F.coalesce("c", "key")).drop("c")
+    return frame.join(found, "node", "left").withColumn("component", F.coalesce("c", "node")).drop("c")
 
 
 def _mixed(postings: DataFrame) -> DataFrame:
@@ -473,24 +487,32 @@ def _left(postings: DataFrame) -> tuple[int, int]:
     return row.n or 0, row.pairs or 0
 
 
-def _met(postings: DataFrame, seed: int, percent: int) -> DataFrame:
+def _met(postings: DataFrame, sketches: DataFrame, seed: int, percent: int) -> DataFrame:
     """One document of each component in a list with the list's leader."""
     # In the first round a document's place is the same in all lists, so alike documents have one leader.
-    place = F.xxhash64(F.lit(seed), "key") if not seed else F.xxhash64(F.lit(seed), "token", "key")
+    place = F.xxhash64(F.lit(seed), "node") if not seed else F.xxhash64(F.lit(seed), "token", "node")
     one = postings.groupBy("token", "component").agg(F.min(F.struct(place.alias("p"), *_WHOLE, "place")).alias("d"))
     leader = one.groupBy("token").agg(F.min("d").alias("l"))
-    able = _fits("d.n", "d.place", "l.n", "l.place", percent) & _near("d", "l", percent)
-    met = one.join(leader, "token").filter(able)
-    return met.filter("d.key <> l.key").select(*_ends("d", "l")).distinct()
+    met = one.join(leader, "token").filter(_fits("d.n", "d.place", "l.n", "l.place", percent))
+    pairs = met.filter("d.node <> l.node").select(*_ends("d", "l")).distinct()
+    return _close(pairs, sketches, percent)
+
+
+def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets the parities do not tell apart."""
+    for end in "ab":
+        of_end = sketches.select(F.col("node").alias(end), F.struct("n", *PARITIES).alias(f"of_{end}"))
+        pairs = pairs.join(of_end, end)
+    return pairs.filter(_near("of_a", "of_b", PARITIES, percent)).drop("of_a", "of_b")
 
 
 #: What a posting tells of its class.
-_WHOLE = ("key", "component", "n", "x", "y")
+_WHOLE = ("node", "component", "n")
 
 
 def _ends(a: str, b: str) -> list[Column]:
     """Classes and components of a pair."""
-    names = {"a": f"{a}.key", "b": f"{b}.key", "ca": f"{a}.component", "cb": f"{b}.component"}
+    names = {"a": f"{a}.node", "b": f"{b}.node", "ca": f"{a}.component", "cb": f"{b}.component"}
     return [F.col(at).alias(name) for name, at in names.items()]
 
 
@@ -500,26 +522,29 @@ def _fits(n: str, i: str, m: str, j: str, percent: int) -> Column:
     return (100 + percent) * most >= percent * (F.col(n) + F.col(m))
 
 
-def _near(a: str, b: str, percent: int) -> Column:
+def _near(a: str, b: str, words: tuple[str, ...], percent: int) -> Column:
     """Whether the parities of two sets allow a link: every one that differs stands for a member of one set."""
-    apart = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in "xy")
+    apart = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in words)
     return (100 + percent) * apart <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
-def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(postings: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components in a list that sizes and places allow.
 
     Lists are matched by their distinct (size, place) first, so a long list of
     documents that cannot link makes no pairs.
     """
+    folded = [reduce(Column.bitwiseXOR, map(F.col, PARITIES[i :: len(FOLDED)])).alias(q) for i, q in enumerate(FOLDED)]
     kinds = postings.select("token", "n", "place").distinct()
     other = kinds.select("token", F.col("n").alias("m"), F.col("place").alias("j"))
     able = kinds.join(other, "token").filter(_fits("n", "place", "m", "j", percent))
-    whole = F.struct(*_WHOLE)
+    whole = F.struct(*_WHOLE, *FOLDED)
+    postings = postings.join(sketches.select("node", *folded), "node")
     left = postings.select("token", "n", "place", whole.alias("l")).join(able, ["token", "n", "place"])
     right = postings.select("token", F.col("n").alias("m"), F.col("place").alias("j"), whole.alias("r"))
-    joined = left.join(right, ["token", "m", "j"]).filter("l.component <> r.component and l.key < r.key")
-    return joined.filter(_near("l", "r", percent)).select(*_ends("l", "r")).distinct()
+    joined = left.join(right, ["token", "m", "j"]).filter("l.component <> r.component and l.node < r.node")
+    pairs = joined.filter(_near("l", "r", FOLDED, percent)).select(*_ends("l", "r")).distinct()
+    return _close(pairs, sketches, percent)
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -540,12 +565,13 @@ def _linked_classes(docs, id_col, text_col, percent: int) -> tuple[DataFrame, Da
     members = _stored(_members(docs, id_col, text_col), "members")
     # Classes without tokens link with nothing, not even with each other.
     full = members.filter("n > 0")
-    classes = _stored(full.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n")), "classes")
+    classes = full.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"))
+    classes = _stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     # One document of each class is enough for counts and prefixes; a few more pass the table.
     named = classes.select(F.xxhash64("id").alias("h"))
     wanted = docs.sparkSession.sparkContext.broadcast(_bits(named, "h")[0])
     order = docs.sparkSession.sparkContext.broadcast(_order(docs, id_col, text_col, classes, wanted))
-    postings = _stored(_postings(docs, id_col, text_col, order, wanted, percent), "postings")
+    sketches = postings = _stored(_postings(docs, id_col, text_col, classes, order, wanted, percent), "postings")
     order.unpersist()  # of the size of the index's token table
     classes = classes.drop("n")
 
@@ -559,10 +585,10 @@ def _linked_classes(docs, id_col, text_col, percent: int) -> tuple[DataFrame, Da
         if not n:
             break
         last = seed == ROUNDS or pairs <= PAIRS_PER_POSTING * n
-        found = links(_all_pairs(left, percent) if last else _met(left, seed, percent))
+        found = links(_all_pairs(left, sketches, percent) if last else _met(left, sketches, seed, percent))
         fresh = not found.isEmpty()
         if not fresh and not last:
-            found = links(_all_pairs(left, percent))
+            found = links(_all_pairs(left, sketches, percent))
             last, fresh = True, not found.isEmpty()
         if fresh:
             # Stars stand for the links of earlier rounds.

@@ -81,6 +81,43 @@ def test_all_pairs_alone_find_the_same(spark, near_copies, monkeypatch):
     assert sorted(map(tuple, jaccard_join.components(docs).collect()), key=str) == brute_components(near_copies)
 
 
+def test_few_pairs_of_unlinked_copies_are_compared(spark, monkeypatch):
+    """Copies of one text with as many changes as 128 parities do not see: only pairs close to a link reach their sets."""
+    rng = random.Random(3)
+    base = ["w%d" % i for i in range(150)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for at in rng.sample(range(0, 150, 5), 4):
+            own[at] = "x%d" % rng.randrange(10_000)
+        rows.append((i, " ".join(own)))
+    compared, stored = [], jaccard_join._stored
+
+    def counted(frame, name):
+        out = stored(frame, name)
+        if name == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_stored", counted)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_join.components(docs).collect()), key=str) == brute_components(rows)
+    sets = [shingle_set(t) for _, t in rows]
+    links = sum(100 * len(a & b) >= 75 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert sum(compared) <= links + 0.05 * 60 * 59 / 2
+
+
+def test_runs_take_four_bytes_a_token_and_lose_none(spark):
+    tokens = np.sort(common.mix(np.arange(5_000, dtype=np.uint64)))
+    for dropped in (0, 29, 32):
+        runs = jaccard_join._token_runs([tokens, tokens[:7]], dropped).to_pydict()
+        assert sum(map(len, runs["tokens"])) == 4 * 5_000 == sum(map(len, runs["counts"]))
+        parts = [(np.uint64(at) << np.uint64(32)) | np.frombuffer(t, np.uint32) for at, t in zip(runs["at"], runs["tokens"])]
+        assert (np.concatenate(parts) == tokens >> np.uint64(dropped)).all()
+        assert sum(np.frombuffer(c, np.uint32).sum() for c in runs["counts"]) == 5_007
+
+
 def test_word_hashes_do_not_depend_on_their_surroundings():
     long = b"x" * 10_000
     text = b"the cat " + long + b" the\tend " + b"y " * 600_000 + b"the cat"
