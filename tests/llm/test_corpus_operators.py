@@ -152,6 +152,34 @@ def test_class_chances_add_up():
     assert np.allclose(chances.sum(axis=1), 1)
 
 
+def test_group_chances_add_up_and_fit():
+    rng = np.random.default_rng(1)
+    context, group = rng.integers(maxent_lm.CONTEXTS, size=5000), rng.integers(maxent_lm.GROUPS, size=5000)
+    group = np.where(rng.random(5000) < 0.5, context // maxent_lm.SKIPPED % maxent_lm.GROUPS, group)
+    counts = np.zeros((maxent_lm.CONTEXTS, maxent_lm.GROUPS))
+    np.add.at(counts, (context, group), 1)
+    split = counts.reshape(maxent_lm.PREVIOUS, maxent_lm.SKIPPED, maxent_lm.GROUPS)
+    pairs = np.bincount(maxent_lm._pair(context, 3 * maxent_lm.GROUPS + group), minlength=maxent_lm.BOTH)
+    chances, reached = maxent_lm.group_chances(3, counts.sum(axis=1), split.sum(axis=1), split.sum(axis=0), pairs)
+    assert np.allclose(chances.sum(axis=1), 1)
+    assert np.isclose(reached[0], -np.log10(maxent_lm.GROUPS)) and reached[-1] > reached[0] + 0.3
+
+
+def test_words_of_a_class_depend_on_the_words_before(spark):
+    rows = [(i, ("red cat", "blue bat")[i % 2]) for i in range(80)] + [(100, "red cat"), (101, "red bat"), (102, "blue cat"), (103, "blue bat")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = docs.doc_id >= 100
+    cat, bat = maxent_lm.groups_of([b"cat", b"bat"])
+    assert cat // maxent_lm.GROUPS == bat // maxent_lm.GROUPS and cat != bat
+    model = maxent_lm.Model.fit(docs.filter(~held))
+    assert (model.group_fit[cat // maxent_lm.GROUPS][1] > model.group_fit[cat // maxent_lm.GROUPS][0]).all()
+    for sums in (10.0 ** model.log_group.astype(float)).reshape(-1, maxent_lm.CLASSES, maxent_lm.GROUPS).sum(axis=2).T[1:]:
+        assert np.allclose(sums, 1, atol=1e-4)
+    out = {r.doc_id: r for r in maxent_lm.score(docs, model, held).collect()}
+    assert abs(out[100].base_score - out[101].base_score) < 1e-9
+    assert out[100].score > out[101].score + 0.5 and out[103].score > out[102].score + 0.5
+
+
 @pytest.mark.parametrize("hot", [0, 200_000])
 def test_model_scores(spark, monkeypatch, hot):
     monkeypatch.setattr(maxent_lm, "HOT", hot)
