@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexiloom.operators import tfidf
-from lexiloom.operators.tfidf import TfidfIndex, _Asked, _whole_documents, term_runs
+from lexiloom.operators.tfidf import TfidfIndex, _Asked, _Block, _whole_documents, term_runs
 
 
 def corpus(n, seed):
@@ -154,3 +154,46 @@ def test_the_salted_join_moves_postings_of_asked_terms_only(spark, monkeypatch):
         met = index._asked_postings(index.query_weights(queries, "query_id", "query"))
         assert {r.term for r in met.select("term").distinct().collect()} <= {"w1", "w2", "w30", "w3", "w150"}
         monkeypatch.setattr(TfidfIndex, "_summed", real)
+
+
+def test_blocks_sum_up_terms_of_few_and_of_many_documents():
+    rng = np.random.default_rng(6)
+    docs, terms, k = 700, 40, 4
+    whole = np.where(rng.random((terms, docs)) < np.geomspace(0.01, 0.9, terms)[:, None], rng.random((terms, docs)), 0.0)
+    term, doc = np.nonzero(whole)
+    block = _Block(docs, np.searchsorted(term, np.arange(terms + 1)), doc, whole[term, doc])
+    assert 0 < len(block.many) < terms and block.length >= docs
+    factors = rng.random(terms)
+    for some in (range(terms), sorted(block.many), sorted(set(range(terms)) - block.many), []):
+        want = sum((factors[t] * whole[t] for t in some), np.zeros(docs))
+        assert np.allclose(block.scores(list(some), [factors[t] for t in some])[:docs], want)
+    at = np.array([0, 3, 333, docs - 1])
+    assert all((block.of(t, at) == whole[t][at]).all() for t in range(terms))
+    score = block.scores(list(range(terms)), factors.tolist())
+    assert (score >= block.first(score, k)).sum() >= k and block.first(np.zeros(block.length), k) > 0
+    asked = pa.table({"query_id": [7] * terms, "term": [f"t{i}" for i in range(terms)], "query_weight": factors})
+    best, held = _Asked(asked, k).fresh(), _Asked(asked, k)
+    held.search(best, list(range(docs)), block)
+    top = sorted((-x, i) for i, x in enumerate(np.round(factors @ whole, 6)))[:k]
+    assert [i for _, i in best[0]] == [i for _, i in top]
+
+
+def test_passes_read_postings_by_term_and_join_them(spark, monkeypatch):
+    rows = corpus(300, 8)
+    docs, queries = frames(spark, rows, [(i, t) for i, t in rows[:40]])
+    index = TfidfIndex.build(docs)
+    want = rows_of(index.search(queries))
+    name, seen, sizes = "spark.sql.parquet.columnarReaderBatchSize", [], spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    monkeypatch.setattr(tfidf, "BROADCAST_CHARS", 1500)
+    monkeypatch.setattr(tfidf, "chars_within", lambda *_: False)
+    monkeypatch.setattr(tfidf, "BLOCK", 100)
+    real = TfidfIndex._searched
+    monkeypatch.setattr(TfidfIndex, "_searched", lambda self, f, *rest: seen.append((spark.conf.get(name), f)) or real(self, f, *rest))
+    for joined in (1, 500, 1 << 22):
+        monkeypatch.setattr(tfidf, "JOINED", joined)
+        assert rows_of(index.search(queries)) == want
+    assert {n for n, _ in seen} == {str(tfidf.ROWS_AT_ONCE)} and spark.conf.get(name) == sizes
+    stored = seen[0][1].collect()
+    assert len(stored) > 3 and sum(len(r.ids) for r in stored) == len({i for i, t in rows if t and "w" in t})
+    for r in stored:
+        assert len(set(r.terms)) == len(r.terms) == len(r.counts) and sum(r.counts) == len(r.docs) == len(r.weights)
