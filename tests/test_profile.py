@@ -1,6 +1,10 @@
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lexiloom.operators import perf, profile, reports
+from lexiloom.operators import language, perf, profile, reports
 from lexiloom.operators.cleaning import process_documents
 from lexiloom.operators.language import language_profile, with_language, words
 from lexiloom.sources.reports import write_report
@@ -203,3 +207,38 @@ def test_words_held_decide_most_texts_and_the_others_are_joined(spark, monkeypat
         got = {r.doc_id: r.language for r in with_language(df, profile, profile_bound=bound).collect()}
         assert got == want
     assert joined[0] == 11 and joined[-1] < 8
+
+
+def test_characters_are_counted_and_scored_as_numbers(spark):
+    texts = ["漢字かな交じり文 and words", "a漢b字\U00020000\U00020001漢漢漢", "ภาษาไทย ไทย", "plain words only", "", None, "ßé 漢", "々〆ー"]
+    rows = [(i, t, "ab"[i % 2]) for i, t in enumerate(texts * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    met = docs.select("lang", F.explode(language.words(F.col("text"))).alias("word"))
+    want = {(r.lang, r.word): r["count"] for r in met.groupBy("lang", "word").count().collect()}
+    total = {x: sum(n for (y, _), n in want.items() if y == x) for x in "ab"}
+    profile = language.language_profile(docs)
+    got = {(r.language, r.word): r.weight for r in profile.collect()}
+    assert got.keys() == want.keys() and any(len(w) == 2 and ord(w[0]) > 0xFFFF for _, w in got)
+    assert all(abs(w - math.log(1 + want[k] / total[k[0]] / language.FLOOR)) < 1e-6 for k, w in got.items())
+    # Neither the profile nor the classifier makes a row or a text of every character any more.
+    plan = profile._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    ways = {}
+    for bound in (10**6, 10, 0):
+        found = language.with_language(docs, profile, "text", profile_bound=bound)
+        ways[bound] = sorted((r.doc_id, r.language) for r in found.collect())
+    assert ways[10**6] == ways[10] == ways[0] and {x for _, x in ways[0]} == {"a", "b", "unknown"}
+
+
+def test_scores_are_the_same_as_a_table_and_by_entries(monkeypatch):
+    rng = np.random.default_rng(3)
+    words, langs = [f"w{i}" for i in range(30)], ["x", "y", "z"]
+    pairs = [(w, x) for w in words for x in langs if rng.random() < 0.6]
+    table = pa.table({"language": [x for _, x in pairs], "word": [w for w, _ in pairs], "weight": np.round(rng.random(len(pairs)), 6)})
+    held = language._Profile(table, 0.0, np.zeros(language._POINTS, dtype=bool))
+    text_of, place = np.sort(rng.integers(0, 50, 4000)), rng.integers(0, len(held.words), 4000)
+    found = held.scores(50, text_of, place)
+    monkeypatch.setattr(language, "_CELLS", 100)
+    cut = held.scores(50, text_of, place)
+    monkeypatch.setattr(language, "_SPARSE", 0)
+    assert (held.scores(50, text_of, place) == found).all() and (cut == found).all() and found.any()
